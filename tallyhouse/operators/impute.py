@@ -15,9 +15,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions.schema import numeric_columns
+from tallyhouse.operators.ranks import running_totals, unpivot
 
 HOT_ROWS = 100_000   # a key above this many rows leaves the window
 HOT_KEYS = 1_000     # at most so many keys are treated as hot; any other holds under 1/1000 of the rows
@@ -41,26 +42,30 @@ def rows_of(df: DataFrame, keys: DataFrame) -> DataFrame:
     return df.join(F.broadcast(listed), same, "left_semi")
 
 
-def _along(kind: str, low: Column, high: Column, by: Sequence[Column], order: Column) -> Column:
-    """Value seen from a row of its key's history. ``low`` and ``high`` bound the value among peers."""
-    upward = Window.partitionBy(*by).orderBy(order)
-    downward = Window.partitionBy(*by).orderBy(order.desc())
-    whole = Window.partitionBy(*by)
+def _name(c: str) -> str:
+    return f"`{c}`"
 
-    def at(value: Column) -> Column:
-        return F.when(value.isNotNull(), F.struct(order.alias("at"), value.alias("value")))
 
-    if kind == FORWARD:
-        return F.max(at(high)).over(upward)["value"]
-    if kind == BACKWARD:
-        return F.min(at(low)).over(downward)["value"]
-    if kind == BOTH:
-        return F.coalesce(_along(FORWARD, low, high, by, order), _along(BACKWARD, low, high, by, order))
-    if kind == LATEST:
-        return F.max(at(high)).over(downward)["value"]
-    if kind == EARLIEST:
-        return F.min(at(low)).over(whole)["value"]
-    raise ValueError(f"unknown fill {kind!r}")
+def _along(kind: str, low: str, high: str, by: Sequence[str], order: str) -> str:
+    """SQL of the value seen from a row of its key's history; ``low`` and ``high`` bound it among peers.
+
+    Looking ahead is a running aggregate over the descending order, so every frame only grows.
+    """
+    key, at = ", ".join(map(_name, by)), _name(order)
+    upward, downward = f"PARTITION BY {key} ORDER BY {at}", f"PARTITION BY {key} ORDER BY {at} DESC"
+
+    def seen(pick: str, value: str, window: str) -> str:
+        dated = f"CASE WHEN {value} IS NOT NULL THEN struct({at} AS at, {value} AS value) END"
+        return f"({pick}({dated}) OVER ({window})).value"
+
+    forms = {
+        FORWARD: seen("max", high, upward),
+        BACKWARD: seen("min", low, downward),
+        BOTH: f"coalesce({seen('max', high, upward)}, {seen('min', low, downward)})",
+        LATEST: seen("max", high, downward),
+        EARLIEST: seen("min", low, f"PARTITION BY {key}"),
+    }
+    return forms[kind]
 
 
 def fill_history(
@@ -75,39 +80,36 @@ def fill_history(
     key, which also replaces values that are present). ``hot_rows`` are the rows of the hot keys, when
     the caller can name them more cheaply than by counting ``df``.
     """
+    unknown = set(fills.values()) - {FORWARD, BACKWARD, BOTH, LATEST, EARLIEST}
+    if unknown:
+        raise ValueError(f"unknown fill {', '.join(sorted(unknown))}")
     if hot_rows is None:
         hot_rows = rows_of(df, hot_keys(df, by, hot_above))
     known = _history(hot_rows, fills, by, order)
-    same = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"known_{k}")) for k in [*by, order]])
-    spread = F.pmod(F.hash(F.spark_partition_id(), F.col(order), *[F.col(c) for c in fills]), F.lit(SALTS))
-    rows = (
-        df.join(F.broadcast(known), same, "left")
-        .withColumn("salt", F.when(F.col("known").isNotNull(), spread))
-    )
-    group = [F.col(k) for k in by] + [F.col("salt")]
+    same = " AND ".join(f"{_name(k)} <=> {_name('known_' + k)}" for k in [*by, order])
+    values = ", ".join(map(_name, [order, *fills]))
+    rows = df.join(F.broadcast(known), F.expr(same), "left").selectExpr(
+        "*", f"CASE WHEN known IS NOT NULL THEN pmod(hash(spark_partition_id(), {values}), {SALTS}) END AS salt")
 
-    def filled(c: str) -> Column:
+    def filled(c: str) -> str:
+        value = _name(c)
         if c not in fills:
-            return F.col(f"`{c}`")
-        kind, value = fills[c], F.col(c)
-        seen = F.when(F.col("known").isNotNull(), F.col("known")[c]).otherwise(
-            _along(kind, value, value, group, F.col(order)))
-        return (seen if kind == EARLIEST else F.coalesce(value, seen)).alias(c)
+            return value
+        seen = (f"CASE WHEN known IS NOT NULL THEN known.{value} ELSE "
+                f"{_along(fills[c], value, value, [*by, 'salt'], order)} END")
+        return f"{seen if fills[c] == EARLIEST else f'coalesce({value}, {seen})'} AS {value}"
 
-    return rows.select(*[filled(c) for c in df.columns])
+    return rows.selectExpr(*map(filled, df.columns))
 
 
 def _history(rows: DataFrame, fills: Mapping[str, str], by: Sequence[str], order: str) -> DataFrame:
     """Filled history of the given rows, one row per (key, snapshot), as ``known_<key>`` and a struct."""
-    bounds = [
-        f(F.col(c)).alias(f"{side}_{c}") for c in fills for side, f in (("low", F.min), ("high", F.max))]
-    once = rows.groupBy(*by, order).agg(*bounds)
-    key = [F.col(k) for k in by]
-    seen = [
-        _along(kind, F.col(f"low_{c}"), F.col(f"high_{c}"), key, F.col(order)).alias(c)
-        for c, kind in fills.items()]
-    return once.select(*[F.col(k).alias(f"known_{k}") for k in [*by, order]], F.struct(*seen).alias("known"))
+    bounds = [f(c).alias(f"{side}_{c}") for c in fills for side, f in (("low", F.min), ("high", F.max))]
+    seen = ", ".join(
+        f"{_along(kind, _name('low_' + c), _name('high_' + c), by, order)} AS {_name(c)}"
+        for c, kind in fills.items())
+    return rows.groupBy(*by, order).agg(*bounds).selectExpr(
+        *[f"{_name(k)} AS {_name('known_' + k)}" for k in [*by, order]], f"struct({seen}) AS known")
 
 
 def ffill(df: DataFrame, cols: Sequence[str], by: Sequence[str], order: str, **hot) -> DataFrame:
@@ -150,11 +152,22 @@ def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), accuracy
         *[F.percentile_approx(c, 0.5, accuracy).alias(f"median_{c}") for c in cols])
 
 
+def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """As ``medians`` but exact (the lower one of two middle values), at the price of a shuffle of all values."""
+    ranked = running_totals(
+        unpivot(df, cols, by).where(F.col("value").isNotNull()), "value", {"n": F.lit(1)}, [*by, "feature"])
+    middle = F.ceil(F.col("all_n") / 2)
+    at_middle = (F.col("before_n") < middle) & (middle <= F.col("before_n") + F.col("n"))
+    return ranked.where(at_middle).groupBy(*by).agg(*[
+        F.max(F.when(F.col("feature") == c, F.col("value"))).cast(df.schema[c].dataType).alias(f"median_{c}")
+        for c in cols])
+
+
 def fill_median(
-    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), accuracy: int = 10_000,
+    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), accuracy: int = 10_000, exact: bool = False,
 ) -> DataFrame:
     """Gaps take the median of the column, over all rows or within ``by``, in the column's own type."""
-    middle = medians(df, cols, by, accuracy)
+    middle = exact_medians(df, cols, by) if exact else medians(df, cols, by, accuracy)
     if by:
         middle = middle.select(
             *[F.col(k).alias(f"at_{k}") for k in by], *[f"median_{c}" for c in cols])

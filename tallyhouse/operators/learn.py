@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
@@ -82,11 +82,14 @@ def split_stats(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def boosted_trees(features: Sequence[str], label: str = "label", **params) -> Pipeline:
-    """Assemble, scale, boost. Missing features stay in as NaN, so that no row is lost when scoring."""
-    assembled = VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="keep")
+    """Impute, assemble, scale, boost. A missing feature takes the median of the rows the model was fitted
+    on, so that no row is lost when scoring."""
+    known = [f"{f}_known" for f in features]
+    imputed = Imputer(inputCols=list(features), outputCols=known, strategy="median")
+    assembled = VectorAssembler(inputCols=known, outputCol="raw_features")
     scaled = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
     trees = GBTClassifier(labelCol=label, featuresCol="features", seed=SPLIT_SEED, **params)
-    return Pipeline(stages=[assembled, scaled, trees])
+    return Pipeline(stages=[imputed, assembled, scaled, trees])
 
 
 def draw_params(grid: Mapping[str, Sequence], draws: int, seed: int = SEARCH_SEED) -> list[dict]:

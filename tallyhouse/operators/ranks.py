@@ -7,6 +7,7 @@ cells and over the cell totals, and added up. No window ever spans a whole group
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -32,20 +33,27 @@ def running_totals(
         df.groupBy(_group_key(by).alias("group"), F.col(value).alias("value"))
         .agg(*[F.sum(m.cast("long")).alias(n) for n, m in measures.items()])
     )
+    # The edges are taken from the same counts, with the same columns, so that one exchange serves all branches.
     fractions = F.array(*[F.lit((i + 1) / cells) for i in range(cells - 1)])
+    step = math.isqrt(cells)
     edges = counts.groupBy("group").agg(
-        F.array_distinct(F.percentile_approx("value", fractions, 10 * cells)).alias("edges"))
-    # The cell of a value is the number of edges below it; edges are sorted and at most ``cells``.
-    placed = counts.join(edges, "group").withColumn(
-        "cell", F.size(F.filter("edges", lambda e: e < F.col("value")))).drop("edges")
-    over = Window.partitionBy("group")
-    earlier = over.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        F.array_distinct(F.percentile_approx("value", fractions, 10 * cells)).alias("edges"),
+        *[F.sum(n).alias(f"all_{n}") for n in measures],
+    ).where(
+        # Always true. It keeps the totals in every branch, which would otherwise prune them and count anew.
+        " AND ".join(f"`all_{n}` >= 0" for n in measures)
+    ).withColumn("coarse", F.filter("edges", lambda e, i: i % step == step - 1))
+    # The cell of a value is the number of edges below it, looked up in two short steps.
+    before = F.size(F.filter("coarse", lambda e: e < F.col("value"))) * step
+    inside = F.size(F.filter(F.slice("edges", before + 1, F.lit(step)), lambda e: e < F.col("value")))
+    placed = counts.join(edges, "group").select(
+        "group", "value", *measures, *[f"all_{n}" for n in measures], (before + inside).alias("cell"))
+    earlier = Window.partitionBy("group").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cell_totals = (
         placed.groupBy("group", "cell").agg(*[F.sum(n).alias(n) for n in measures])
         .select(
             "group", "cell",
-            *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"base_{n}") for n in measures],
-            *[F.sum(n).over(over).alias(f"all_{n}") for n in measures])
+            *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"base_{n}") for n in measures])
     )
     within = Window.partitionBy("group", "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     return placed.join(cell_totals, ["group", "cell"]).select(

@@ -240,10 +240,10 @@ ENTRIES["t10_training_set_no_look_ahead"] = (
 
 
 def _predictions(t: Tables):
-    rows = learn.oot_split(joins.training_rows(
-        t("loan_labels"), joins.scoring_set(t.risk, t.engagement)), LOAN_KEY)
-    features = [*CLICK_FEATURES, *RISK_FEATURES]
-    model = learn.boosted_trees(features, maxIter=5, maxDepth=3).fit(rows.where(c("split") == "train"))
+    """Train on the complete rows, score every customer with risk features."""
+    rows = learn.oot_split(training_set(t("loan_labels"), t.engagement, t.risk, backward=True), LOAN_KEY)
+    model = learn.boosted_trees([*CLICK_FEATURES, *RISK_FEATURES], maxIter=5, maxDepth=3).fit(
+        rows.where(c("split") == "train"))
     return predictions(t.risk, t.engagement, model, "credit_model_2024_06_01")
 
 

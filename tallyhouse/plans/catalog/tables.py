@@ -195,7 +195,7 @@ ENTRIES["w5_latest_per_key"] = (
     "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY Customer_ID ORDER BY snapshot_date DESC) AS rn "
     "FROM attributes_raw) WHERE rn = 1")
 ENTRIES["i1_median_fill"] = (
-    lambda t: impute.fill_median(_financials_v1(t).select(*KEY, *q.V1_NUMBERS), q.V1_NUMBERS),
+    lambda t: impute.fill_median(_financials_v1(t).select(*KEY, *q.V1_NUMBERS), q.V1_NUMBERS, exact=True),
     f"SELECT {q.named({n: f'coalesce({n}, median_{n})' for n in q.V1_NUMBERS})} FROM financials_v1 CROSS JOIN (SELECT "
     + ", ".join(f"quantile_disc({n}, 0.5) AS median_{n}" for n in q.V1_NUMBERS) + " FROM financials_v1)")
 ENTRIES["i1_median_fill_by_snapshot"] = (
@@ -213,7 +213,7 @@ ENTRIES["i2_constant_fill"] = (
     "ON a.Customer_ID = k.Customer_ID AND a.snapshot_date = k.snapshot_date")
 ENTRIES["i3_null_counts"] = (
     lambda t: impute.null_counts(_financials_v1(t)),
-    "SELECT " + ", ".join(f"count_if({n} IS NULL) AS {n}" for n in [*KEY, *FIN_V1]) + " FROM financials_v1")
+    "SELECT " + ", ".join(f"CAST(count_if({n} IS NULL) AS BIGINT) AS {n}" for n in [*KEY, *FIN_V1]) + " FROM financials_v1")
 
 # --- joins ---
 ENTRIES["j1_join_sources"] = lambda t: joins.join_sources(*t.raw), "SELECT * FROM wide_joined"

@@ -79,7 +79,7 @@ def wide_silver(
         "loan_array": clean.split_trim(loans)})
     present = [n for n in CLICK_COLUMNS if n in clicks.columns]
     return enforce(
-        fill_median(cut_lineage(listed), ["Age", *NUMBERS, *present], median_by), WIDE_TYPES, strict=False)
+        fill_median(cut_lineage(listed, "wide"), ["Age", *NUMBERS, *present], median_by), WIDE_TYPES, strict=False)
 
 
 def fit_vocabularies(silver: DataFrame) -> tuple[dict[str, list[str]], dict[str, list[str]]]:

@@ -48,11 +48,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a costly parent read by several branches.
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a costly parent that several branches read to the shared folder, and read it back.
 
-    Without a shared checkpoint folder the frame is returned as it is, and its branches are recomputed.
+    As a table it keeps column pruning for the branches, and a lost executor costs no recomputation.
+    Without a shared folder the frame is returned as it is, and its branches are recomputed.
     """
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        return df.checkpoint()
-    return df
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        return df
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
