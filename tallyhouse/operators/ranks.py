@@ -34,7 +34,7 @@ def running_totals(
         .agg(*[F.sum(m.cast("long")).alias(n) for n, m in measures.items()])
     )
     # The edges are taken from the same counts, with the same columns, so that one exchange serves all branches.
-    fractions = F.array(*[F.lit((i + 1) / cells) for i in range(cells - 1)])
+    fractions = F.expr(f"array({', '.join(f'{(i + 1) / cells}D' for i in range(cells - 1))})")
     step = math.isqrt(cells)
     edges = counts.groupBy("group").agg(
         F.array_distinct(F.percentile_approx("value", fractions, 10 * cells)).alias("edges"),
@@ -70,19 +70,21 @@ def quantiles(
     known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     ranked = running_totals(known, value, {"n": F.lit(1)}, by)
 
-    def value_at(rank: Column) -> Column:
-        held = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
-        return F.max(F.when(held, F.col(value).cast("double")))
+    def value_at(rank: str) -> str:
+        held = f"before_n <= {rank} AND {rank} < before_n + n"
+        return f"max(CASE WHEN {held} THEN CAST(`{value}` AS DOUBLE) END)"
 
     picked, result = [], []
     for i, p in enumerate(fractions):
-        place = F.lit(float(p)) * (F.col("all_n") - 1)
+        place = f"({float(p)}D * (all_n - 1))"
         picked += [
-            value_at(F.floor(place)).alias(f"low_{i}"), value_at(F.ceil(place)).alias(f"high_{i}"),
-            F.max(place - F.floor(place)).alias(f"part_{i}")]
-        low, high, part = F.col(f"low_{i}"), F.col(f"high_{i}"), F.col(f"part_{i}")
-        result.append(F.when(low == high, low).otherwise(low * (1 - part) + high * part))
-    return ranked.groupBy(*by).agg(*picked).select(*by, F.array(*result).alias(name))
+            F.expr(f"{value_at(f'floor{place}')} AS low_{i}"), F.expr(f"{value_at(f'ceil{place}')} AS high_{i}"),
+            F.expr(f"max({place} - floor{place}) AS part_{i}")]
+        # measured from the nearer neighbour, which fixes the last digit
+        result.append(
+            f"CASE WHEN part_{i} < 0.5 THEN low_{i} + (high_{i} - low_{i}) * part_{i} "
+            f"ELSE high_{i} - (high_{i} - low_{i}) * (1 - part_{i}) END")
+    return ranked.groupBy(*by).agg(*picked).select(*by, F.expr(f"array({', '.join(result)})").alias(name))
 
 
 def deciles(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int = 10) -> DataFrame:

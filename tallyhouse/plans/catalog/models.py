@@ -159,8 +159,10 @@ GROUP BY p.snapshot_date, p.feature, point, x, n_rows, h"""
 _BOXES = ["Outstanding_Debt", "Interest_Rate", "Delay_from_due_date", "Loan_Extent", "Repayment_Ability"]
 ENTRIES["mo7_five_numbers"] = (
     lambda t: five_numbers(joins.training_rows(t("loan_labels"), t.risk), _BOXES, ["label"]),
-    "SELECT label, feature, min(v) AS minimum, quantile_cont(v, 0.25) AS lower_quartile, quantile_cont(v, 0.5) AS median, "
-    "quantile_cont(v, 0.75) AS upper_quartile, max(v) AS maximum FROM ("
+    "SELECT label, feature, min(v) AS minimum, "
+    + ", ".join(f"{q.quantile('v', p)} AS {n}" for n, p in (
+        ("lower_quartile", "0.25E0"), ("median", "0.5E0"), ("upper_quartile", "0.75E0")))
+    + ", max(v) AS maximum FROM ("
     + " UNION ALL ".join(
         f"SELECT label, '{n}' AS feature, CAST({n} AS DOUBLE) AS v FROM loan_labels l JOIN risk r "
         "ON l.Customer_ID = r.Customer_ID AND l.snapshot_date = r.snapshot_date" for n in _BOXES)

@@ -221,6 +221,15 @@ SHARED: dict[str, str] = {
 }
 
 
+def quantile(values: str, p: str) -> str:
+    """Linear interpolation in a list of all values, measured from the nearer neighbour."""
+    ordered, place = f"list_sort(list({values}))", f"((count({values}) - 1) * ({p}))"
+    low, high = f"{ordered}[CAST(floor({place}) AS INT) + 1]", f"{ordered}[CAST(ceil({place}) AS INT) + 1]"
+    part = f"({place} - floor({place}))"
+    return (f"CASE WHEN {part} < 0.5 THEN {low} + ({high} - {low}) * {part} "
+            f"ELSE {high} - ({high} - {low}) * (1 - {part}) END")
+
+
 def area(source: str, label: str, score: str, by: str = "") -> str:
     """AUC by pairs: each positive against the negatives below it, ties by half."""
     part = f"PARTITION BY {by}" if by else ""
@@ -236,11 +245,11 @@ def area(source: str, label: str, score: str, by: str = "") -> str:
 
 def stability(source: str, value: str, by: str = "model_name") -> str:
     """PSI of each snapshot against the month before."""
-    tenths = "[" + ", ".join(f"{i}/10.0E0" for i in range(11)) + "]"
+    tenths = "[" + ", ".join(quantile("v", f"{i}/10.0E0") for i in range(11)) + "]"
     return f"""
 WITH clean AS (SELECT {by}, snapshot_date, TRY_CAST({value} AS DOUBLE) AS v FROM {source} WHERE TRY_CAST({value} AS DOUBLE) IS NOT NULL),
 edges AS (SELECT {by}, CAST(snapshot_date + INTERVAL 1 MONTH AS DATE) AS snapshot_date,
-  list_sort(list_distinct(quantile_cont(v, {tenths}))) AS edges FROM clean GROUP BY {by}, snapshot_date),
+  list_sort(list_distinct({tenths})) AS edges FROM clean GROUP BY {by}, snapshot_date),
 sides AS (SELECT {by}, snapshot_date, v, 1 AS a, 0 AS e FROM clean UNION ALL
   SELECT {by}, CAST(snapshot_date + INTERVAL 1 MONTH AS DATE), v, 0, 1 FROM clean),
 placed AS (SELECT s.{by}, s.snapshot_date, len(edges) - 1 AS bins, a, e,

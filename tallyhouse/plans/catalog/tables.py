@@ -256,7 +256,7 @@ def _deciles(t: Tables):
 
 
 ENTRIES["g6_deciles"] = _deciles, (
-    "SELECT snapshot_date, " + ", ".join(f"quantile_cont(model_predictions, {i}/10.0E0) AS p{i * 10}" for i in range(11))
+    "SELECT snapshot_date, " + ", ".join(f"{q.quantile('model_predictions', f'{i}/10.0E0')} AS p{i * 10}" for i in range(11))
     + " FROM scores GROUP BY snapshot_date")
 ENTRIES["g7_category_counts"] = (
     lambda t: encode.category_counts(t("attributes_raw"), "Occupation"),
