@@ -34,7 +34,7 @@ def _binned_pairs(df: DataFrame, value: str, by: Sequence[str], buckets: int) ->
     clean = df.select(*keys, number.alias("value")).where(number.isNotNull() & ~F.isnan(number))
     counts = clean.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     edges = (
-        deciles(clean, "value", keys, buckets)
+        deciles(counts, "value", keys, buckets, weight="n")
         .select(*by, F.add_months(SNAPSHOT, 1).alias(SNAPSHOT), F.array_sort(F.array_distinct("edges")).alias("edges")))
     none, n, month = F.lit(0).cast("long"), F.col("n"), F.col(SNAPSHOT)
     roles = F.array(

@@ -16,12 +16,14 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DateType, DecimalType, FractionalType
 
 from tallyhouse.functions.schema import numeric_columns
 from tallyhouse.operators.ranks import running_totals, unpivot
 
 HOT_ROWS = 100_000   # a key above this many rows leaves the window
 HOT_KEYS = 1_000     # at most so many keys are treated as hot; any other holds under 1/1000 of the rows
+# The broadcast history holds one row per hot key and snapshot: HOT_KEYS times the months on record.
 SALTS = 4_096
 
 FORWARD, BACKWARD, BOTH, LATEST, EARLIEST = "forward", "backward", "both", "latest", "earliest"
@@ -83,6 +85,8 @@ def fill_history(
     unknown = set(fills.values()) - {FORWARD, BACKWARD, BOTH, LATEST, EARLIEST}
     if unknown:
         raise ValueError(f"unknown fill {', '.join(sorted(unknown))}")
+    if not isinstance(df.schema[order].dataType, DateType):
+        raise ValueError(f"{order} must be a date: the history of hot keys is kept small by it")
     if hot_rows is None:
         hot_rows = rows_of(df, hot_keys(df, by, hot_above))
     known = _history(hot_rows, fills, by, order)
@@ -196,5 +200,12 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def complete_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Rows without any null."""
-    return df.na.drop(subset=list(cols) if cols else None)
+    """Rows without any null or NaN.
+
+    Written out per column, so that the optimizer can push the tests below a join and make a left join inner.
+    """
+    wanted = [f for f in df.schema.fields if cols is None or f.name in cols]
+    tests = [F.col(f"`{f.name}`").isNotNull() for f in wanted]
+    tests += [~F.isnan(f"`{f.name}`") for f in wanted if isinstance(f.dataType, FractionalType)
+              and not isinstance(f.dataType, DecimalType)]
+    return df.where(reduce(lambda a, b: a & b, tests)) if tests else df

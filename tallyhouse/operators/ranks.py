@@ -65,10 +65,14 @@ def running_totals(
 
 def quantiles(
     df: DataFrame, value: str, fractions: Sequence[float], by: Sequence[str] = (), name: str = "quantiles",
+    weight: str | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation between neighbours, as one array per group. Skips nulls."""
+    """Exact quantiles with linear interpolation between neighbours, as one array per group. Skips nulls.
+
+    ``weight`` names a count column when ``df`` holds counted values instead of single rows.
+    """
     known = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    ranked = running_totals(known, value, {"n": F.lit(1)}, by)
+    ranked = running_totals(known, value, {"n": F.lit(1) if weight is None else F.col(weight)}, by)
 
     def value_at(rank: str) -> str:
         held = f"before_n <= {rank} AND {rank} < before_n + n"
@@ -87,9 +91,11 @@ def quantiles(
     return ranked.groupBy(*by).agg(*picked).select(*by, F.expr(f"array({', '.join(result)})").alias(name))
 
 
-def deciles(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int = 10) -> DataFrame:
+def deciles(
+    df: DataFrame, value: str, by: Sequence[str] = (), buckets: int = 10, weight: str | None = None,
+) -> DataFrame:
     """Edges of ``buckets`` equally filled buckets, as the array ``edges``."""
-    return quantiles(df, value, [i / buckets for i in range(buckets + 1)], by, "edges")
+    return quantiles(df, value, [i / buckets for i in range(buckets + 1)], by, "edges", weight)
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import cleaning as clean
-from tallyhouse.functions.schema import SNAPSHOT
+from tallyhouse.functions.schema import SNAPSHOT, columns_with_prefix
 from tallyhouse.operators import drift, joins, learn
 from tallyhouse.operators.impute import complete_rows
 from tallyhouse.operators.periods import in_period
@@ -70,6 +70,19 @@ ENTRIES["l5_auc_by_snapshot"] = (
 ENTRIES["l6_batch_score"] = lambda t: learn.score(t.risk, _fit(t), "credit_model_2024_06_01"), None
 
 
+def _click_scores(t: Tables):
+    """Train on raw click counts in fixed periods before a date, score the click counts of all months."""
+    clicks = t("clickstream_raw")
+    features = columns_with_prefix(clicks, "fe_")
+    rows = learn.period_split(
+        joins.training_rows(t("loan_labels"), clicks), "2024-07-01", LOAN_KEY, train_months=4, oot_months=2)
+    model = learn.boosted_trees(features, maxIter=5, maxDepth=2).fit(rows.where(c("split") == "train"))
+    return learn.score(clicks, model, "credit_model_2024_07_01")
+
+
+ENTRIES["l6_batch_score_clicks"] = _click_scores, None
+
+
 def _ceiling(t: Tables):
     def rows_up_to(snapshot: str):
         labels = in_period(t("loan_labels"), "2024-01-01", snapshot)
@@ -119,7 +132,6 @@ ENTRIES["mo5_performance_status"] = (
     "SELECT s.snapshot_date, auc, CASE WHEN auc < 0.65 THEN 'retraining needed' WHEN auc IS NOT NULL THEN "
     "'performance ok' ELSE 'labels not available' END AS performance_status "
     f"FROM (SELECT DISTINCT snapshot_date FROM scores) s LEFT JOIN ({_AREAS}) a ON s.snapshot_date = a.snapshot_date")
-_RISK_SHOWN = ["Outstanding_Debt", "Interest_Rate", "Delay_from_due_date", "Loan_Extent"]
 
 
 def _bars(cols: list[str], source: str, bins: int) -> str:
@@ -137,12 +149,12 @@ ENTRIES["mo6_histogram"] = (
     _bars(RISK_FEATURES, "risk", 50) + " SELECT * FROM bars")
 
 
-def _density(t: Tables):
-    out = drift.density(t.clicks, q.CLICKS, [SNAPSHOT], points=40, bins=100)
+def _density(df, cols):
+    out = drift.density(df, cols, [SNAPSHOT], points=40, bins=100)
     return out.select(SNAPSHOT, "feature", "point", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
 
 
-ENTRIES["mo6_density"] = _density, _bars(q.CLICKS, "clickstream_silver", 100) + """,
+_KERNEL = """,
 centred AS (SELECT *, low + (bin + 0.5) * width AS centre FROM bars),
 sized AS (SELECT snapshot_date, feature, sum(n) AS n_rows, sum(n * centre) / sum(n) AS mean, min(centre) AS first, max(centre) AS last
   FROM centred GROUP BY ALL),
@@ -156,6 +168,12 @@ SELECT p.snapshot_date, p.feature, point, round(x, 6) AS x,
   round(sum(n * exp(-pow((x - centre) / h, 2) / 2)) / (n_rows * h * sqrt(2 * pi())), 6) AS density
 FROM placed p JOIN centred b ON p.snapshot_date = b.snapshot_date AND p.feature = b.feature
 GROUP BY p.snapshot_date, p.feature, point, x, n_rows, h"""
+ENTRIES["mo6_density"] = (
+    lambda t: _density(t.clicks, q.CLICKS), _bars(q.CLICKS, "clickstream_silver", 100) + _KERNEL)
+ENTRIES["mo6_engagement_density"] = (
+    lambda t: _density(t.engagement, CLICK_FEATURES), _bars(CLICK_FEATURES, "engagement", 100) + _KERNEL)
+ENTRIES["mo6_prediction_density"] = (
+    lambda t: _density(t("scores"), ["model_predictions"]), _bars(["model_predictions"], "scores", 100) + _KERNEL)
 _BOXES = ["Outstanding_Debt", "Interest_Rate", "Delay_from_due_date", "Loan_Extent", "Repayment_Ability"]
 ENTRIES["mo7_five_numbers"] = (
     lambda t: five_numbers(joins.training_rows(t("loan_labels"), t.risk), _BOXES, ["label"]),

@@ -8,7 +8,11 @@ from tallyhouse.plans.catalog import entries
 from tallyhouse.plans.catalog.base import Tables
 from tallyhouse.plans.features import engagement, financials_silver
 from tallyhouse.plans.loans import label_store
-from tallyhouse.operators.impute import ffill, latest_per_key
+from tallyhouse.operators.drift import psi
+from tallyhouse.operators.impute import complete_rows, ffill, latest_per_key
+from tallyhouse.operators.joins import training_rows
+from tallyhouse.plans.model import training_set
+from tallyhouse.plans.wide import wide_silver
 
 
 def plan(df):
@@ -61,3 +65,38 @@ def test_fill_shuffles_its_rows_once(stored):
 def test_latest_row_is_an_aggregate(stored):
     text = plan(latest_per_key(stored("attributes_raw"), ["Customer_ID"], "snapshot_date"))
     assert "Window" not in text and "partial_max" in text
+
+
+def same(a, b):
+    return a.exceptAll(b.select(a.columns)).count() == 0 == b.select(a.columns).exceptAll(a).count()
+
+
+def test_wide_table_is_the_same_when_every_customer_is_hot(stored):
+    raw = [stored(n) for n in ("clickstream_raw", "attributes_raw", "financials_raw")]
+    assert same(wide_silver(*raw), wide_silver(*raw, hot_above=0))
+
+
+def test_training_set_is_the_same_when_every_customer_is_hot(spark, sf):
+    t = Tables(spark, sf)
+    usual = training_set(t("loan_labels"), t.engagement, t.risk, backward=True)
+    assert usual.count() > 0 and same(usual, training_set(t("loan_labels"), t.engagement, t.risk, backward=True, hot_above=0))
+
+
+def test_training_set_looks_back_only_unless_asked(spark, sf):
+    t = Tables(spark, sf)
+    ahead = training_set(t("loan_labels"), t.engagement, t.risk, "2024-01-01", "2024-12-01", backward=True)
+    back = training_set(t("loan_labels"), t.engagement, t.risk, "2024-01-01", "2024-12-01")
+    assert back.count() <= ahead.count() and back.select("loan_id").exceptAll(ahead.select("loan_id")).count() == 0
+
+
+def test_complete_rows_make_the_join_inner(stored):
+    labels = stored("loan_daily").select("loan_id", "Customer_ID", "snapshot_date").distinct()
+    rows = complete_rows(training_rows(labels, stored("clickstream_raw")))
+    assert "Inner" in plan(rows) and "LeftOuter" not in plan(rows)
+
+
+def test_scan_of_the_stability_index_is_shared(spark, sf):
+    df = psi(Tables(spark, sf)("scores"), "model_predictions", ["model_name"])
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1
