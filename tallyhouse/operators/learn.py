@@ -92,6 +92,15 @@ def boosted_trees(features: Sequence[str], label: str = "label", **params) -> Pi
     return Pipeline(stages=[imputed, assembled, scaled, trees])
 
 
+def fit_boosted_trees(train: DataFrame, features: Sequence[str], label: str = "label", **params) -> PipelineModel:
+    """Fit one model. Each stage reads the rows again, so only the needed columns are kept meanwhile."""
+    kept = train.select(*features, label).persist()
+    try:
+        return boosted_trees(features, label, **params).fit(kept)
+    finally:
+        kept.unpersist()
+
+
 def draw_params(grid: Mapping[str, Sequence], draws: int, seed: int = SEARCH_SEED) -> list[dict]:
     """Distinct random combinations of a grid; all of them if there are no more than ``draws``."""
     every = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]

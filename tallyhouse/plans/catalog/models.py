@@ -48,8 +48,7 @@ def _rows(t: Tables):
 
 
 def _fit(t: Tables):
-    kept = _rows(t).where(c("split") == "train")
-    return learn.boosted_trees(RISK_FEATURES, maxIter=5, maxDepth=3).fit(kept)
+    return learn.fit_boosted_trees(_rows(t).where(c("split") == "train"), RISK_FEATURES, maxIter=5, maxDepth=3)
 
 
 ENTRIES["l3_boosted_trees"] = lambda t: learn.split_auc(_fit(t), _rows(t)), None
@@ -76,7 +75,7 @@ def _click_scores(t: Tables):
     features = columns_with_prefix(clicks, "fe_")
     rows = learn.period_split(
         joins.training_rows(t("loan_labels"), clicks), "2024-07-01", LOAN_KEY, train_months=4, oot_months=2)
-    model = learn.boosted_trees(features, maxIter=5, maxDepth=2).fit(rows.where(c("split") == "train"))
+    model = learn.fit_boosted_trees(rows.where(c("split") == "train"), features, maxIter=5, maxDepth=2)
     return learn.score(clicks, model, "credit_model_2024_07_01")
 
 
@@ -262,8 +261,8 @@ ENTRIES["t10_training_set_no_look_ahead"] = (
 def _predictions(t: Tables):
     """Train on the complete rows, score every customer with risk features."""
     rows = learn.oot_split(training_set(t("loan_labels"), t.engagement, t.risk, backward=True), LOAN_KEY)
-    model = learn.boosted_trees([*CLICK_FEATURES, *RISK_FEATURES], maxIter=5, maxDepth=3).fit(
-        rows.where(c("split") == "train"))
+    model = learn.fit_boosted_trees(
+        rows.where(c("split") == "train"), [*CLICK_FEATURES, *RISK_FEATURES], maxIter=5, maxDepth=3)
     return predictions(t.risk, t.engagement, model, "credit_model_2024_06_01")
 
 
