@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyhouse.llm.sql import ORACLE_SQL
 from tallyhouse.session import tune
 
 
@@ -14,14 +16,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.substring import remove_repeats
 
-    return remove_repeats(_table(spark, sf_dir, "documents"))
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("removed")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tallyhouse.llm.bpe import encode_digests
+
+    return encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.decontaminate import digest, find_contamination
 
-    return digest(find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+    return digest(find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))).drop("hits")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.rules import POLICIES, apply_policy, ledger, mask_of
+
+    checked = apply_policy(ledger(_table(spark, sf_dir, "documents")))
+    base = checked["failed"].bitwiseAND(F.lit(mask_of(POLICIES[1]))) != 0
+    return checked.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "failed", "n_lines", "n_capitals")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op8_quality_rules)}
+__all__ = ["ORACLE_SQL", "QUERIES"]
