@@ -33,6 +33,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))).drop("hits")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.secrets import digest, find_secrets
+
+    return digest(find_secrets(_table(spark, sf_dir, "documents")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.rules import POLICIES, apply_policy, ledger, mask_of
 
@@ -41,5 +47,5 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "failed", "n_lines", "n_capitals")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op6_secret_scan, op8_quality_rules)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
