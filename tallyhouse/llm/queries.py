@@ -47,5 +47,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "failed", "n_lines", "n_capitals")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op6_secret_scan, op8_quality_rules)}
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.quality import classify
+
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op6_secret_scan, op8_quality_rules, op9_quality_classifier)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
