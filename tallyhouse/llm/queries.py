@@ -33,6 +33,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))).drop("hits")
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.neardup import classes
+
+    return classes(_table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.pii import find_pii
 
@@ -59,5 +65,5 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op5_pii, op6_secret_scan, op8_quality_rules, op9_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op4_near_dedup, op5_pii, op6_secret_scan, op8_quality_rules, op9_quality_classifier)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
