@@ -51,6 +51,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.html import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.rules import POLICIES, apply_policy, ledger, mask_of
 
@@ -65,5 +71,5 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op4_near_dedup, op5_pii, op6_secret_scan, op8_quality_rules, op9_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op4_near_dedup, op5_pii, op6_secret_scan, op7_html_extraction, op8_quality_rules, op9_quality_classifier)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
