@@ -71,5 +71,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op4_near_dedup, op5_pii, op6_secret_scan, op7_html_extraction, op8_quality_rules, op9_quality_classifier)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.gru import score
+
+    return score(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op4_near_dedup, op5_pii, op6_secret_scan, op7_html_extraction, op8_quality_rules, op9_quality_classifier, op10_lm_scoring)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
