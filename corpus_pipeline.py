@@ -1,17 +1,61 @@
-"""The documents table through the stages that make training text of it."""
+"""The documents table through the stages that make training text of it.
+
+Each stage takes what the one before it kept, over whole tables. `STAGES` can be run one by one with a table written between two
+stages, which is also what a restart after a failure needs: a stage reads its input and nothing that an earlier one held.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
-ORACLE_SQL = None
+from tallyhouse.llm.bpe import token_rows
+from tallyhouse.llm.decontaminate import keep_clean
+from tallyhouse.llm.neardup import keep_one
+from tallyhouse.llm.pii import replace_pii
+from tallyhouse.llm.quality import keep_good
+from tallyhouse.session import tune
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest id."""
+    return keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a test item."""
+    return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with pseudonyms for personal data; texts keep their length, so n_chars holds."""
+    return replace_pii(docs)
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with hashes of them and of the text they decode to."""
+    return token_rows(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("pii", pii),
+    ("bpe", bpe),
+]
+ORACLE_SQL = None  # no stage but the third has a form in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from unicodedata import is_normalized, normalize
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -277,6 +278,18 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     return _mapped(docs, path, schema, "doc_id long, ids array<int>, decoded string", row)
 
 
+def token_rows(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, hashes of the ids and of the decoded text, and the ids themselves (see `encode_documents`)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.list_(pa.int32()))])
+
+    def row(bpe: WordBpe, text: str) -> tuple:
+        joined, decoded = bpe.encode_joined(text)
+        ids = np.array(joined.split(" ") if joined else [], np.int32)
+        return len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), ids
+
+    return _mapped(docs, path, schema, f"{_OUT}, ids array<int>", row)
+
+
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, number of tokens, and hashes of the ids and of the decoded text (see `encode_documents`)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])

@@ -91,17 +91,37 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     same doc_id are scanned each for itself. Columns but doc_id and text (item_id and text) are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    none = F.expr(f"cast(array() as {_SPANS})"), F.expr("cast(array() as array<string>)")
+    out = docs.select("doc_id", "text", F.lit(0).cast("long").alias("n_words"), none[0].alias("hits"), none[1].alias("item_ids"))
+    for own in _shards(items, shard_chars):
+        out = out.mapInArrow(_scanner(own, window), f"text string, {_OUT}")
+    return out.drop("text")
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
+    """The documents without any hit (see `find_contamination`), with all their columns."""
+    for own in _shards(items, shard_chars):
+        docs = docs.mapInArrow(_filter(own, window), docs.schema)
+    return docs
+
+
+def _filter(items, window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = build(items.value, window)
+        for batch in batches:
+            yield batch.filter(pa.array([not scan(automaton, t)[1] for t in encode(batch["text"].to_pylist())], pa.bool_()))
+
+    return run
+
+
+def _shards(items: DataFrame, shard_chars: int) -> list:
+    """The items as broadcasts of about `shard_chars` characters each, by a hash of their id; their size is measured first."""
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, -(-chars // shard_chars))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)))
-    none = F.expr(f"cast(array() as {_SPANS})"), F.expr("cast(array() as array<string>)")
-    out = docs.select("doc_id", "text", F.lit(0).cast("long").alias("n_words"), none[0].alias("hits"), none[1].alias("item_ids"))
-    for shard in range(shards):
-        # about shard_chars characters, as measured above
-        own = [(r.item_id, r.text) for r in dealt.filter(F.col("shard") == shard).collect()]
-        out = out.mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(own), window), f"text string, {_OUT}")
-    return out.drop("text")
+    context = items.sparkSession.sparkContext
+    return [context.broadcast([(r.item_id, r.text) for r in dealt.filter(F.col("shard") == shard).collect()]) for shard in range(shards)]
 
 
 def merged(spans: list[dict]) -> list[dict]:

@@ -59,7 +59,7 @@ def prob_min_hash(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, tex
     live = np.arange(len(shingle))
     while len(live):
         arrival += 1
-        u = mix(state[live] + U64(arrival) * _STEP)
+        u = mix(state[live] + np.full(1, arrival, U64) * _STEP)
         time[live] -= np.log(((u >> U64(11)).astype(float) + 1) * 2.0**-53) / rate[live]
         slot = text[live] * registers + (mix(u ^ _STEP) % U64(registers)).astype(np.int64)
         better = np.flatnonzero(time[live] < first[slot])
