@@ -61,6 +61,10 @@ class Merges:
                 raise ValueError(f"the merge {a!r} {b!r} comes before its parts")
         self._spines = lru_cache(1 << 16)(self._spine)
         self.stable = lru_cache(1 << 18)(self._stable)
+        self.made = {t for t in vocab if t not in self.parts}  # tokens that their own text is encoded as
+        for token, (a, b) in self.parts.items():  # in the order of merges, so after its parts
+            if a in self.made and b in self.made and self._stable(a, b, self.rank[a, b]):
+                self.made.add(token)
 
     def _spine(self, token: str, side: int) -> list[tuple[str, float]]:
         """The tokens at one edge of a token while it is made, each with the rank of the merge that takes it in."""
@@ -71,12 +75,12 @@ class Merges:
             out.append((token, until))
         return out
 
-    def _stable(self, left: str, right: str) -> bool:
-        """No merge crosses the border of the two tokens while each is made. Of equal ranks the leftmost merge comes first."""
+    def _stable(self, left: str, right: str, until: float = float("inf")) -> bool:
+        """No merge before `until` crosses the border of the two tokens while each is made. Of equal ranks the leftmost comes first."""
         for a, a_until in self._spines(left, 1):
             for b, b_until in self._spines(right, 0):
                 r = self.rank.get((a, b))
-                if r is not None and r < a_until and r <= b_until:
+                if r is not None and r < a_until and r <= b_until and r < until:
                     return False
         return True
 
@@ -103,7 +107,7 @@ class Transducer:
 
     def feed(self, word: Iterable[str]) -> Iterator[str]:
         """Tokens of one word, each as soon as it is stable."""
-        stable, vocab, reach = self.merges.stable, self.merges.vocab, self.lookahead
+        stable, made, reach = self.merges.stable, self.merges.made, self.lookahead
         seen: list[str] = []  # symbols since the last emitted token
         last: list[tuple[str, int]] = []  # for each prefix of them: its last token, and how many symbols that has
         for symbol in self.symbols(word):
@@ -111,7 +115,7 @@ class Transducer:
             n = len(seen)
             for size in range(min(reach, n), 0, -1):
                 token = symbol if size == 1 else "".join(seen[n - size :])
-                if token in vocab and (size == n or stable(last[n - size - 1][0], token)):
+                if token in made and (size == n or stable(last[n - size - 1][0], token)):
                     last.append((token, size))
                     break
             else:
