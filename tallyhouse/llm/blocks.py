@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.words import U64
+
 BLOCK_BYTES = 8 << 20  # text in a block, on average
 
 
@@ -48,3 +50,52 @@ def joined(parts: list[np.ndarray], dtype) -> np.ndarray:
 def columns(schema: pa.Schema, *values: list) -> pa.Table:
     """A table of lists in the order of the schema; without lists an empty one."""
     return pa.table(dict(zip(schema.names, values)), schema=schema) if values else schema.empty_table()
+
+
+# Which values do several blocks or texts have? Each block sends the distinct values it has, 31 bits of each; the rest of its
+# hash is the bucket. The answer is a bit a value in the order sent. Two values may share their bits, so a value may be called
+# shared that is not, never the other way round.
+
+SENT = "bucket long, block long, body binary"
+FOUND = "block long, bucket long, shared binary"
+_SENT_SCHEMA = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("body", pa.binary())])
+
+
+def placed_values(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 31 bits of each hash in one integer, whose order is that of what is sent."""
+    return ((h >> U64(32)) % U64(buckets)) << U64(31) | (h & U64(0x7FFFFFFF))
+
+
+def send(value: np.ndarray, several: np.ndarray) -> list[tuple[int, bytes]]:
+    """(bucket, body) of sorted distinct values; `several` says that more than one text of the block has it."""
+    body = ((value & U64(0x7FFFFFFF)) << U64(1) | several.astype(U64)).astype(np.uint32)
+    return [(b, body[s].tobytes()) for b, s in split_sorted((value >> U64(31)).astype(np.int64))]
+
+
+def sent_rows(block: int, sent: list[tuple[int, bytes]]) -> pa.Table:
+    return columns(_SENT_SCHEMA, [b for b, _ in sent], [block] * len(sent), [body for _, body in sent])
+
+
+def share(table):
+    """For each block's values in a bucket, a bit each: several texts have it."""
+    bodies = unpack(table["body"], np.uint32)
+    value = joined(bodies, np.uint32)
+    order = np.argsort(value >> np.uint32(1), kind="stable")
+    v = (value >> np.uint32(1))[order]
+    same = np.concatenate(([False], v[1:] == v[:-1], [False]))
+    shared = np.zeros(len(value), bool)
+    shared[order] = same[1:] | same[:-1]
+    # a value with the flag in one block is shared wherever it is, as other blocks that have it make it repeat
+    shared |= (value & np.uint32(1)).astype(bool)
+    cuts = np.cumsum([len(b) for b in bodies])[:-1]
+    bits = [np.packbits(s).tobytes() for s in np.split(shared, cuts)]
+    return pa.table({"block": table["block"], "bucket": table["bucket"], "shared": pa.array(bits, pa.binary())})
+
+
+def received(value: np.ndarray, found) -> np.ndarray:
+    """The answers to the sorted distinct values of a block."""
+    flag = np.zeros(len(value), bool)
+    bits = dict(zip(found["bucket"].to_pylist(), found["shared"].to_pylist()))
+    for b, s in split_sorted((value >> U64(31)).astype(np.int64)):
+        flag[s] = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=s.stop - s.start).astype(bool)
+    return flag

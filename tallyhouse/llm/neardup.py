@@ -8,20 +8,29 @@ arrival a shingle. Registers are cut into bands; documents that agree on a whole
 candidate pair is computed exactly from the texts before it counts as a link.
 
 Texts with the same normalised words are one class first, and one document stands for each. Candidates of a bucket are compared
-with one leader of it, not with each other; what has no link to the rest of its bucket after that is compared with other
-leaders, and at last with every member of its bucket that is still in another class, so no link between classes is lost and a
-group of n copies costs about n comparisons. All steps are joins and sums over tables written to the shared folder.
+with its most central document, that whose own buckets are fullest, and not with each other: of a text and its copies that is
+the text. What has no link to the rest of its bucket after that is compared with every member of the bucket that is still in
+another class, so no link between classes is lost and a group of n copies costs about n comparisons.
+
+Two tests keep pairs from being made at all. Shingles that only one of the candidates has bound its similarity to any other
+exactly (`_bound`), which rules out copies that have been changed too much, however many of them there are. And candidates get a longer
+signature, of `SKETCH` registers with one bit each; pairs of which fewer agree than 4.5 standard deviations below the mean at
+that similarity are left.
+All steps are joins and sums over tables written to the shared folder.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.blocks import FOUND, SENT, block_count, columns, placed_values, received, send, sent_rows, share, text_bytes, with_block
 from tallyhouse.llm.components import components
 from tallyhouse.llm.decontaminate import normal_words
 from tallyhouse.llm.words import U64, encode, hash_words, mix, weights, whole_windows, window_hashes
@@ -30,7 +39,8 @@ from tallyhouse.session import cut_lineage
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4  # at similarity 0.8 all 20 bands miss with probability 0.00003
-LEADER_ROUNDS = 3
+SKETCH = 640
+MARK_BYTES = 1 << 20  # candidates' text in a block
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -92,12 +102,77 @@ def normal(text: bytes) -> bytes:
     return b" ".join(normal_words(text))
 
 
-_SIGNED = "doc_id long, content binary, n_shingles long, bands array<long>"
+def _sketch(owner: np.ndarray) -> np.ndarray:
+    """One bit of each register, 64 registers to a word."""
+    # mixed with the register's number, so that two shingles agree by chance in each register anew
+    bits = (mix(owner ^ weights(owner.shape[1], 43)) & U64(1)).reshape(len(owner), -1, 64) << np.arange(64, dtype=U64)
+    return bits.sum(axis=2, dtype=U64).astype(np.int64)
+
+
+def least_agreeing(similarity: float, registers: int = SKETCH) -> int:
+    """Registers whose bits agree in all but a few in a million pairs of that similarity."""
+    p = (1 + similarity) / 2
+    return int(registers * p - 4.5 * (registers * p * (1 - p)) ** 0.5)
+
+
+def _differing(a: Column, b: Column) -> Column:
+    """Registers of two sketches whose bits differ."""
+    return reduce(add, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH // 64)])
+
+
+def marks_of(texts: DataFrame) -> DataFrame:
+    """node, size (distinct shingles), lone (share of its weight in shingles that no other node has), flat (all counts are 1), sketch.
+
+    Some shingles of one node only may be taken for shared, so `lone` may be too small, never too large.
+    """
+    blocks = block_count(text_bytes(texts), MARK_BYTES)
+    buckets = max(1, blocks // 2)
+    placed = with_block(texts, blocks, "node")
+    schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("lone", pa.float64()), ("flat", pa.bool_()), ("sketch", pa.list_(pa.int64()))])
+
+    def known(table):
+        text, shingle, weight = shingles(table["text"].to_pylist())
+        value, index, count = np.unique(placed_values(shingle, buckets), return_inverse=True, return_counts=True)
+        return text, shingle, weight, value, index, count
+
+    def ask(key, table):
+        *_, value, _, count = known(table)
+        return sent_rows(key[0].as_py(), send(value, count > 1))
+
+    def judge(table, found):
+        if not table.num_rows:
+            return schema.empty_table()
+        text, shingle, weight, value, index, _ = known(table)
+        n = table.num_rows
+        size, total = np.bincount(text, minlength=n), np.bincount(text, weight, minlength=n)
+        lone = np.bincount(text, weight * ~received(value, found)[index], minlength=n)
+        sketch = _sketch(prob_min_hash(text, shingle, weight, n, SKETCH))
+        return columns(schema, table["node"], size, lone / np.maximum(total, 1), size == total, list(sketch))
+
+    answers = placed.groupBy("block").applyInArrow(ask, SENT).groupBy("bucket").applyInArrow(share, FOUND)
+    return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, "node long, size long, lone double, flat boolean, sketch array<long>")
+
+
+def _bound(a: str, b: str) -> Column:
+    """No pair is more similar than this.
+
+    With equal counts a similarity is common / (all), and at most the shingles that are not lone are common. Else, with u and v
+    the lone shares: each term of the similarity is at most 2 / ((1 + u) / p + (1 + v) / q) for a shingle's shares p and q, which
+    is at most the mean of p / (1 + u) and q / (1 + v).
+    """
+    x, y = F.col(a), F.col(b)
+    common = F.least(x["size"] * (1 - x["lone"]), y["size"] * (1 - y["lone"]))
+    flat = common / F.greatest(x["size"] + y["size"] - common, F.lit(1.0))
+    mean = ((1 - x["lone"]) / (1 + x["lone"]) + (1 - y["lone"]) / (1 + y["lone"])) / 2
+    return F.when(x["flat"] & y["flat"], flat).otherwise(mean)
+
+
+_SIGNED = "doc_id long, content binary, bands array<long>"
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, a hash of the normalised words, the number of distinct shingles, and one hash a band."""
-    schema = pa.schema([("doc_id", pa.int64()), ("content", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    """doc_id, a hash of the normalised words, and one hash a band (none without words)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("content", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def sign(ids: list, texts: list[bytes]) -> pa.RecordBatch:
         norm = [normal(t) for t in texts]
@@ -109,7 +184,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
             key += owner[:, :, r] * factor
         key = mix(key + weights(bands, 42)).astype(np.int64)
         return pa.RecordBatch.from_arrays([
-            pa.array(ids, pa.int64()), pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in norm], pa.binary()), pa.array(n, pa.int64()),
+            pa.array(ids, pa.int64()), pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in norm], pa.binary()),
             pa.array([k if c else k[:0] for k, c in zip(key, n)], pa.list_(pa.int64())),
         ], schema=schema)
 
@@ -162,44 +237,39 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     signed = cut_lineage(signatures(docs), "signatures")
     known = signed.filter(F.col("doc_id").isNotNull())
     # one node for each content: the smallest id that has it; ids may repeat, so a node is named by content where they meet
-    content = known.groupBy("content").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles"))
+    content = known.groupBy("content").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
     nodes = cut_lineage(content.withColumn("node", F.xxhash64("content")), "nodes")
-    banded = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "key")).drop("band")
-    shared = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
+    banded = nodes.select("node", F.explode("bands").alias("key"))
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     banded = cut_lineage(banded.join(shared, "key"), "bands")
-    involved = banded.select("node").distinct()
-
+    involved = cut_lineage(banded.groupBy("node").agg(F.sum("size").alias("central")), "involved")
     chosen = nodes.join(involved, "node").join(known.select("content", "doc_id"), "content").filter(F.col("doc_id") == F.col("first")).select("node", "content", "doc_id").distinct()
     texts = docs.join(chosen, "doc_id").select("node", "content", "text").mapInArrow(_own_content, "node long, text binary").dropDuplicates(["node"])
     texts = cut_lineage(texts, "texts")
 
-    links = None
-    labels = None  # node, root
-    tried = None
-    for round_ in range(LEADER_ROUNDS + 1):
-        named = banded if labels is None else banded.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if labels is None:
-            named = named.withColumn("root", F.col("node"))
-        else:
-            mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-            named = cut_lineage(named.join(mixed, "key"), "mixed")
-            if named.isEmpty():
-                break
-        if round_ < LEADER_ROUNDS:
-            # the leader of a bucket, another one each round
-            order = F.struct(F.xxhash64(F.lit(round_), "node"), F.col("node").alias("node"), F.col("root").alias("root"), F.col("n_shingles").alias("n_shingles"))
-            leader = named.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.node").alias("leader"), F.col("l.root").alias("leader_root"))
-            pairs = named.join(leader, "key").filter("root != leader_root").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        else:
-            other = named.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-            pairs = named.join(other, "key").filter("root < other_root").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = cut_lineage(_verified(pairs, texts, similarity), "verified")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+    mark = F.struct("sketch", "size", "lone", "flat").alias("mark")
+    marked = cut_lineage(involved.join(marks_of(texts), "node").select("node", "central", mark), "marks")
+    banded = banded.select("key", "node").join(marked, "node")
+    differing = _differing(F.col("mark.sketch"), F.col("other_mark.sketch"))
+    likely = (differing <= SKETCH - least_agreeing(similarity)) & (_bound("mark", "other_mark") >= similarity - 1e-9)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        return cut_lineage(_verified(ends, texts, similarity), "verified")
+
+    # every member with the most central one of its bucket
+    leader = banded.groupBy("key").agg(F.max(F.struct("central", "node", "mark")).alias("l"))
+    leader = leader.select("key", F.col("l.node").alias("other"), F.col("l.mark").alias("other_mark"))
+    links = verified(banded.join(leader, "key").filter((F.col("node") != F.col("other")) & likely))
+    labels = components(links)
+    # members of a bucket that are in different classes still
+    named = banded.select("key", "node", "mark").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = cut_lineage(named, "named")
+    mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+    named = cut_lineage(named.join(mixed, "key"), "mixed")
+    other = named.select("key", F.col("node").alias("other"), F.col("mark").alias("other_mark"), F.col("root").alias("other_root"))
+    more = verified(named.join(other, "key").filter((F.col("root") < F.col("other_root")) & likely))
+    labels = components(links.unionByName(more))
     roots = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = roots.groupBy("root").agg(F.min("first").alias("class_id")).join(roots.select("root", "content"), "root").select("content", "class_id")
     found = signed.select("doc_id", "content").join(named, "content", "left")

@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.blocks import BLOCK_BYTES, block_count, columns, joined, split_sorted, text_bytes, unpack, with_block
+from tallyhouse.llm.blocks import (
+    BLOCK_BYTES, FOUND, SENT, block_count, columns, joined, placed_values, received, send, sent_rows, share, split_sorted, text_bytes, unpack, with_block,
+)
 from tallyhouse.llm.words import U64, encode, hash_words, whole_windows, window_hashes
 
 WIDTH = 13
@@ -26,8 +28,6 @@ COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}  # p
 BUCKETS_A_BLOCK = 0.5
 NEVER = np.iinfo(np.int64).max
 
-_SENT = "bucket long, block long, body binary"
-_FOUND = "block long, bucket long, shared binary"
 _RUNS = "bucket long, block long, high binary, low binary, doc binary"
 _EARLIER = "block long, high binary, low binary, doc binary"
 _EARLIER_SCHEMA = pa.schema([("block", pa.int64()), ("high", pa.binary()), ("low", pa.binary()), ("doc", pa.binary())])
@@ -58,8 +58,7 @@ class _Block:
         at = whole_windows(self.words, span) & np.isin(self.words.position % period, cover)[: max(0, len(self.words.hash) - span + 1)]
         places = np.flatnonzero(at)
         h = window_hashes(self.words.hash, span, 11)[places]
-        key = ((h >> U64(32)) % U64(buckets)) << U64(31) | (h & U64(0x7FFFFFFF))
-        value, index = np.unique(key, return_inverse=True)
+        value, index = np.unique(placed_values(h, buckets), return_inverse=True)
         return places, value, index
 
     def send_anchors(self, buckets: int):
@@ -69,8 +68,7 @@ class _Block:
         high = np.full(len(value), -1, np.int64)
         np.minimum.at(low, index, text)
         np.maximum.at(high, index, text)
-        body = ((value & U64(0x7FFFFFFF)) << U64(1) | (low < high).astype(U64)).astype(np.uint32)
-        return [(b, body[s].tobytes()) for b, s in split_sorted((value >> U64(31)).astype(np.int64))]
+        return send(value, low < high)
 
     def runs(self, places: np.ndarray):
         """High and low hash of the whole runs that start at the places; the last bit is free."""
@@ -83,22 +81,6 @@ def _buckets(blocks: int) -> int:
     return max(1, int(blocks * BUCKETS_A_BLOCK))
 
 
-def _share(table):
-    """For each block's anchors in a bucket, a bit each: several documents have it."""
-    bodies = unpack(table["body"], np.uint32)
-    value = joined(bodies, np.uint32)
-    order = np.argsort(value >> np.uint32(1), kind="stable")
-    v = (value >> np.uint32(1))[order]
-    same = np.concatenate(([False], v[1:] == v[:-1], [False]))
-    shared = np.zeros(len(value), bool)
-    shared[order] = same[1:] | same[:-1]
-    # a value with the flag in one block is shared wherever it is, as other blocks that have it make it repeat
-    shared |= (value & np.uint32(1)).astype(bool)
-    cuts = np.cumsum([len(b) for b in bodies])[:-1]
-    bits = [np.packbits(s).tobytes() for s in np.split(shared, cuts)]
-    return pa.table({"block": table["block"], "bucket": table["bucket"], "shared": pa.array(bits, pa.binary())})
-
-
 def _earliest(table):
     """For each block's runs in a bucket, those that an earlier document has, with the smallest document id."""
     parts = [unpack(table[c], t) for c, t in (("high", U64), ("low", U64), ("doc", np.int64))]
@@ -169,13 +151,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK
     blocks = block_count(text_bytes(docs), block_bytes)
     buckets = _buckets(blocks)
     placed = with_block(docs, blocks)
-    schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("body", pa.binary())])
 
     def anchors(key, table):
-        sent = _Block(table, width).send_anchors(buckets)
-        return columns(schema, [b for b, _ in sent], [key[0].as_py()] * len(sent), [body for _, body in sent])
+        return sent_rows(key[0].as_py(), _Block(table, width).send_anchors(buckets))
 
-    shared = placed.groupBy("block").applyInArrow(anchors, _SENT).groupBy("bucket").applyInArrow(_share, _FOUND)
+    shared = placed.groupBy("block").applyInArrow(anchors, SENT).groupBy("bucket").applyInArrow(share, FOUND)
     runs_schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("high", pa.binary()), ("low", pa.binary()), ("doc", pa.binary())])
 
     def runs(key, table, found):
@@ -183,10 +163,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK
             return runs_schema.empty_table()
         block = _Block(table, width)
         places, value, index = block.anchors(buckets)
-        flag = np.zeros(len(value), bool)
-        bits = dict(zip(found["bucket"].to_pylist(), found["shared"].to_pylist()))
-        for b, s in split_sorted((value >> U64(31)).astype(np.int64)):
-            flag[s] = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=s.stop - s.start).astype(bool)
+        flag = received(value, found)
         period = cover_for(width)[0]
         whole = whole_windows(block.words, width)
         near = np.zeros(len(whole) + 1, np.int64)
