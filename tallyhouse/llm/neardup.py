@@ -247,8 +247,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = docs.join(chosen, "doc_id").select("node", "content", "text").mapInArrow(_own_content, "node long, text binary").dropDuplicates(["node"])
     texts = cut_lineage(texts, "texts")
 
-    mark = F.struct("sketch", "size", "lone", "flat").alias("mark")
-    marked = cut_lineage(involved.join(marks_of(texts), "node").select("node", "central", mark), "marks")
+    mark = F.struct("sketch", "size", "lone", "flat", "bands").alias("mark")
+    marked = cut_lineage(involved.join(marks_of(texts), "node").join(nodes.select("node", "bands"), "node").select("node", "central", mark), "marks")
     banded = banded.select("key", "node").join(marked, "node")
     differing = _differing(F.col("mark.sketch"), F.col("other_mark.sketch"))
     likely = (differing <= SKETCH - least_agreeing(similarity)) & (_bound("mark", "other_mark") >= similarity - 1e-9)
@@ -268,7 +268,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
     named = cut_lineage(named.join(mixed, "key"), "mixed")
     other = named.select("key", F.col("node").alias("other"), F.col("mark").alias("other_mark"), F.col("root").alias("other_root"))
-    more = verified(named.join(other, "key").filter((F.col("root") < F.col("other_root")) & likely))
+    # a pair that shares several buckets is made in one of them
+    once = F.col("key") == F.array_min(F.array_intersect("mark.bands", "other_mark.bands"))
+    more = verified(named.join(other, "key").filter((F.col("root") < F.col("other_root")) & likely & once))
     labels = components(links.unionByName(more))
     roots = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = roots.groupBy("root").agg(F.min("first").alias("class_id")).join(roots.select("root", "content"), "root").select("content", "class_id")
