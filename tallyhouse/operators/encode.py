@@ -1,15 +1,17 @@
-"""Category encoders over a bounded vocabulary, and a standard scaler.
+"""Category encoders, and a standard scaler.
 
-A vocabulary is fitted once and passed on, so that all snapshots share the same columns.
+An index takes any number of categories. Where categories become columns, their vocabulary is bounded by
+``MOST_LABELS``, above which fitting is an error. A vocabulary is fitted once and passed on, so that all snapshots share the same columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.functions.cleaning import column_label
+from tallyhouse.operators.ranks import running_totals
 
 MOST_LABELS = 1_000
 
@@ -44,10 +46,28 @@ def element_vocabulary(df: DataFrame, col: str, most: int = MOST_LABELS) -> list
     return _bounded(elements(df, col).orderBy("element"), most)
 
 
-def string_index(c: Column, vocab: Sequence[str]) -> Column:
-    """Position in the vocabulary; unseen and null values share the next index."""
-    at = F.array_position(F.array(*[F.lit(v) for v in vocab]), c)
-    return F.when(at > 0, at - 1).otherwise(len(vocab)).cast("int")
+def label_index(df: DataFrame, col: str) -> DataFrame:
+    """Every category of a column with its index by descending frequency, ties by name: ``col``, ``label_index``.
+
+    The index is the number of more frequent categories plus the place among those equally frequent, so no
+    task ranks them all and the driver holds none.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, "n", {"labels": F.lit(1)})
+    above = ranked.select("n", (F.col("all_labels") - F.col("before_labels") - F.col("labels")).alias("above"))
+    among = F.row_number().over(Window.partitionBy("n").orderBy(col)) - 1
+    return counts.withColumn("among", among).join(above, "n").select(col, (F.col("above") + F.col("among")).cast("int").alias("label_index"))
+
+
+def index_strings(df: DataFrame, col: str, name: str, fitted: DataFrame | None = None) -> DataFrame:
+    """Adds the index of each category under ``name``; unseen and null values share the next index.
+
+    ``fitted`` is a ``label_index`` of the training rows, by default of ``df`` itself, of any number of categories.
+    """
+    fitted = label_index(df, col) if fitted is None else fitted
+    size = fitted.agg(F.count(F.lit(1)).cast("int").alias("labels"))
+    joined = df.join(fitted, col, "left").crossJoin(F.broadcast(size))  # exactly one row
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("label_index", "labels").alias(name))
 
 
 def one_hot(c: Column, name: str, vocab: Sequence[str]) -> dict[str, Column]:

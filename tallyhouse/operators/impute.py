@@ -1,10 +1,9 @@
 """Fills along the history of a key, medians, constants and null counts.
 
-A key has one row per snapshot as a rule, so its history is short and one window over it is the whole
-plan: one exchange, one sort per direction. A key that still holds very many rows would put them all
-into one task. Such hot keys are found by a count over the key column alone. Their rows skip the window:
-their history is pre-aggregated to one row per (key, snapshot), filled there, and joined back to rows
-that are salted over many tasks. Both ways give the same values, so the bound only steers the plan.
+The history of a key is first put together to one row per snapshot, with map-side combining, so a key that
+holds a third of all rows costs each task one row per snapshot. The windows run over those short histories,
+and what they found is joined back to the rows by key and snapshot, an equi-join that adaptive execution
+splits where a key is hot. There is one path for all sizes.
 
 Rows of one key and snapshot are peers: a gap takes a peer's value first, the largest one (the smallest
 one when filling backward), so that no result hangs on the order in which rows arrive.
@@ -21,35 +20,15 @@ from pyspark.sql.types import DateType, DecimalType, FractionalType
 from tallyhouse.functions.schema import numeric_columns
 from tallyhouse.operators.ranks import running_totals, unpivot
 
-HOT_ROWS = 100_000   # a key above this many rows leaves the window
-HOT_KEYS = 1_000     # at most so many keys are treated as hot; any other holds under 1/1000 of the rows
-# The broadcast history holds one row per hot key and snapshot: HOT_KEYS times the months on record.
-SALTS = 4_096
-
 FORWARD, BACKWARD, BOTH, LATEST, EARLIEST = "forward", "backward", "both", "latest", "earliest"
 
 
-def hot_keys(df: DataFrame, by: Sequence[str], above: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
-    """The keys with more than ``above`` rows, at most ``most`` of them, largest first."""
-    return (
-        df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows_of_key")).where(F.col("rows_of_key") > above)
-        .orderBy(F.desc("rows_of_key"), *by).limit(most).select(*by)
-    )
-
-
-def rows_of(df: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key is listed in ``keys``, a frame of at most ``HOT_KEYS`` rows."""
-    listed = keys.select(*[F.col(k).alias(f"listed_{k}") for k in keys.columns])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"listed_{k}")) for k in keys.columns])
-    return df.join(F.broadcast(listed), same, "left_semi")
-
-
 def _name(c: str) -> str:
     return f"`{c}`"
 
 
 def _along(kind: str, low: str, high: str, by: Sequence[str], order: str) -> str:
-    """SQL of the value seen from a row of its key's history; ``low`` and ``high`` bound it among peers.
+    """SQL of the value seen from a snapshot of a key's history; ``low`` and ``high`` bound it among peers.
 
     Looking ahead is a running aggregate over the descending order, so every frame only grows.
     """
@@ -70,40 +49,29 @@ def _along(kind: str, low: str, high: str, by: Sequence[str], order: str) -> str
     return forms[kind]
 
 
-def fill_history(
-    df: DataFrame, fills: Mapping[str, str], by: Sequence[str], order: str,
-    hot_rows: DataFrame | None = None, hot_above: int = HOT_ROWS,
-) -> DataFrame:
+def fill_history(df: DataFrame, fills: Mapping[str, str], by: Sequence[str], order: str) -> DataFrame:
     """Fill gaps of several columns along the history of each key, in one pass.
 
     ``fills`` maps a column to its direction: ``forward`` (latest value up to the row), ``backward``
     (next value from the row on; sees the future), ``both`` (forward, then backward), ``latest`` (the
     newest value of the key, if it is not older than the row) or ``earliest`` (the oldest value of the
-    key, which also replaces values that are present). ``hot_rows`` are the rows of the hot keys, when
-    the caller can name them more cheaply than by counting ``df``.
+    key, which also replaces values that are present). ``df`` is read twice; stage it if it is costly.
     """
     unknown = set(fills.values()) - {FORWARD, BACKWARD, BOTH, LATEST, EARLIEST}
     if unknown:
         raise ValueError(f"unknown fill {', '.join(sorted(unknown))}")
     if not isinstance(df.schema[order].dataType, DateType):
-        raise ValueError(f"{order} must be a date: the history of hot keys is kept small by it")
-    if hot_rows is None:
-        hot_rows = rows_of(df, hot_keys(df, by, hot_above))
-    known = _history(hot_rows, fills, by, order)
+        raise ValueError(f"{order} must be a date: the history of a key is kept short by it")
+    known = _history(df, fills, by, order)
     same = " AND ".join(f"{_name(k)} <=> {_name('known_' + k)}" for k in [*by, order])
-    values = ", ".join(map(_name, [order, *fills]))
-    rows = df.join(F.broadcast(known), F.expr(same), "left").selectExpr(
-        "*", f"CASE WHEN known IS NOT NULL THEN pmod(hash(spark_partition_id(), {values}), {SALTS}) END AS salt")
 
     def filled(c: str) -> str:
         value = _name(c)
         if c not in fills:
             return value
-        seen = (f"CASE WHEN known IS NOT NULL THEN known.{value} ELSE "
-                f"{_along(fills[c], value, value, [*by, 'salt'], order)} END")
-        return f"{seen if fills[c] == EARLIEST else f'coalesce({value}, {seen})'} AS {value}"
+        return f"{f'known.{value}' if fills[c] == EARLIEST else f'coalesce({value}, known.{value})'} AS {value}"
 
-    return rows.selectExpr(*map(filled, df.columns))
+    return df.join(known, F.expr(same), "left").selectExpr(*map(filled, df.columns))
 
 
 def _history(rows: DataFrame, fills: Mapping[str, str], by: Sequence[str], order: str) -> DataFrame:
@@ -116,28 +84,28 @@ def _history(rows: DataFrame, fills: Mapping[str, str], by: Sequence[str], order
         *[f"{_name(k)} AS {_name('known_' + k)}" for k in [*by, order]], f"struct({seen}) AS known")
 
 
-def ffill(df: DataFrame, cols: Sequence[str], by: Sequence[str], order: str, **hot) -> DataFrame:
+def ffill(df: DataFrame, cols: Sequence[str], by: Sequence[str], order: str) -> DataFrame:
     """Forward fill per key in snapshot order."""
-    return fill_history(df, {c: FORWARD for c in cols}, by, order, **hot)
+    return fill_history(df, {c: FORWARD for c in cols}, by, order)
 
 
 def ffill_bfill(
-    df: DataFrame, cols: Sequence[str], by: Sequence[str], order: str, backward: bool = True, **hot,
+    df: DataFrame, cols: Sequence[str], by: Sequence[str], order: str, backward: bool = True,
 ) -> DataFrame:
     """Forward fill, then backward fill. ``backward=False`` keeps later snapshots out of earlier rows."""
-    return fill_history(df, {c: BOTH if backward else FORWARD for c in cols}, by, order, **hot)
+    return fill_history(df, {c: BOTH if backward else FORWARD for c in cols}, by, order)
 
 
 def fill_latest(
-    df: DataFrame, col: str, by: Sequence[str], order: str, default: str = "Unknown", **hot,
+    df: DataFrame, col: str, by: Sequence[str], order: str, default: str = "Unknown",
 ) -> DataFrame:
     """Gaps take the key's newest value that is not older than the row, else ``default``."""
-    return fill_history(df, {col: LATEST}, by, order, **hot).na.fill({col: default})
+    return fill_history(df, {col: LATEST}, by, order).na.fill({col: default})
 
 
-def fill_from_group(df: DataFrame, col: str, by: Sequence[str], order: str, **hot) -> DataFrame:
+def fill_from_group(df: DataFrame, col: str, by: Sequence[str], order: str) -> DataFrame:
     """Every row takes the key's oldest known value; keys without any take the median over all rows."""
-    return fill_median(fill_history(df, {col: EARLIEST}, by, order, **hot), [col])
+    return fill_median(fill_history(df, {col: EARLIEST}, by, order), [col])
 
 
 def latest_per_key(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
@@ -147,17 +115,8 @@ def latest_per_key(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return newest.select(*[F.col(c) if c in by else F.col("newest")[c].alias(c) for c in df.columns])
 
 
-def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
-    """Medians of all columns in one aggregate over bounded sketches, named ``median_<column>``.
-
-    The rank error is at most 1/``accuracy`` of the rows of a group, and a value of the data is returned.
-    """
-    return df.groupBy(*by).agg(
-        *[F.percentile_approx(c, 0.5, accuracy).alias(f"median_{c}") for c in cols])
-
-
-def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """As ``medians`` but exact (the lower one of two middle values), at the price of a shuffle of all values."""
+def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Exact medians (the lower one of two middle values) named ``median_<column>``, one row per group."""
     ranked = running_totals(
         unpivot(df, cols, by).where(F.col("value").isNotNull()), "value", {"n": F.lit(1)}, [*by, "feature"])
     middle = F.ceil(F.col("all_n") / 2)
@@ -167,11 +126,20 @@ def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
         for c in cols])
 
 
-def fill_median(
-    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), accuracy: int = 10_000, exact: bool = False,
+def approximate_medians(
+    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), accuracy: int = 10_000,
 ) -> DataFrame:
-    """Gaps take the median of the column, over all rows or within ``by``, in the column's own type."""
-    middle = exact_medians(df, cols, by) if exact else medians(df, cols, by, accuracy)
+    """As ``medians``, by sketches: cheaper, with a rank error of up to 1/``accuracy`` of the rows of a group.
+
+    No table of this package uses it; where a group has more than ``accuracy`` rows its results differ from run to run.
+    """
+    return df.groupBy(*by).agg(
+        *[F.percentile_approx(c, 0.5, accuracy).alias(f"median_{c}") for c in cols])
+
+
+def fill_median(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Gaps take the exact median of the column, over all rows or within ``by``, in the column's own type."""
+    middle = medians(df, cols, by)
     if by:
         middle = middle.select(
             *[F.col(k).alias(f"at_{k}") for k in by], *[f"median_{c}" for c in cols])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import math
 import random
 from collections.abc import Mapping, Sequence
 
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.functions.schema import SNAPSHOT
 from tallyhouse.operators.periods import max_snapshot, training_periods
-from tallyhouse.operators.ranks import auc, gini
+from tallyhouse.operators.ranks import auc, gini, running_totals
 
 # Seeds, split ratio and the two search grids. The two penalties of the boosted-tree
 # library the grids were made for have no counterpart here and are left out.
@@ -43,36 +42,55 @@ GRID_LARGE: dict[str, list] = {
 }
 
 
-def hashed_share(key: Sequence[str], ratio: float, seed: int = SPLIT_SEED) -> Column:
-    """True for about ``ratio`` of the keys: the same keys on any cluster, without a shuffle."""
-    text = F.concat(*[F.col(k).cast("string") for k in key], F.lit(str(seed)))
-    return F.substring(F.md5(text), 1, 4) < F.lit(format(math.ceil(ratio * 65536), "04x"))
+PLACES = 1 << 48
+
+
+def split_place(key: Sequence[str], seed: int = SPLIT_SEED) -> Column:
+    """48 bits of the hashed key as a number: the same on any cluster. A null part counts as an empty text."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
+    digits = F.substring(F.md5(F.concat_ws("|", *parts, F.lit(str(seed)))), 1, 12)
+    return F.conv(digits, 16, 10).cast("long")
 
 
 def train_test_split(
-    df: DataFrame, key: Sequence[str], ratio: float = TRAIN_RATIO, seed: int = SPLIT_SEED,
+    df: DataFrame, key: Sequence[str], ratio: float = TRAIN_RATIO, seed: int = SPLIT_SEED, label: str | None = "label",
 ) -> DataFrame:
-    """Adds ``split``: train or test. The hash knows nothing of the label, so both classes split alike."""
-    return df.withColumn("split", F.when(hashed_share(key, ratio, seed), "train").otherwise("test"))
-
+    """Adds ``split``: train or test, stratified by the label.
 
-def oot_split(df: DataFrame, key: Sequence[str], ratio: float = TRAIN_RATIO, seed: int = SPLIT_SEED) -> DataFrame:
+    Of each label the rows with the smallest places are train, ``ratio`` of them rounded to whole rows; rows
+    with equal keys go together. Without a label, rows below a place are train, about ``ratio`` of all.
+    """
+    if not 0 <= ratio <= 1:
+        raise ValueError("the ratio must be between 0 and 1")
+    placed = df.withColumn("split_place", split_place(key, seed))
+    if label is None:
+        train = F.col("split_place") < F.lit(ratio * PLACES)
+        return placed.withColumn("split", F.when(train, "train").otherwise("test")).drop("split_place")
+    ranked = running_totals(placed, "split_place", {"rows": F.lit(1)}, [label])
+    taken = ranked.where(F.col("before_rows") < F.round(F.lit(ratio) * F.col("all_rows"))).select(
+        F.col(label).alias("taken_label"), F.col("split_place").alias("taken_place"))
+    same = F.col(label).eqNullSafe(F.col("taken_label")) & (F.col("split_place") == F.col("taken_place"))
+    split = F.when(F.col("taken_place").isNotNull(), "train").otherwise("test")
+    return placed.join(taken, same, "left").select(*[F.col(f"`{c}`") for c in df.columns], split.alias("split"))
+
+
+def oot_split(
+    df: DataFrame, key: Sequence[str], ratio: float = TRAIN_RATIO, seed: int = SPLIT_SEED, label: str | None = "label",
+) -> DataFrame:
     """As above, with the rows of the last snapshot as the out-of-time part."""
     last = max_snapshot(df).select(F.col(SNAPSHOT).alias("last"))
-    split = train_test_split(df.crossJoin(F.broadcast(last)), key, ratio, seed)  # exactly one row
-    return split.withColumn(
-        "split", F.when(F.col(SNAPSHOT) == F.col("last"), "oot").otherwise(F.col("split"))).drop("last")
+    dated = df.crossJoin(F.broadcast(last))  # exactly one row
+    late = dated.where(F.col(SNAPSHOT) == F.col("last")).drop("last")
+    early = dated.where(F.col(SNAPSHOT) < F.col("last")).drop("last")
+    return train_test_split(early, key, ratio, seed, label).unionByName(late.withColumn("split", F.lit("oot")))
 
 
-def period_split(df: DataFrame, train_date: str, key: Sequence[str], **periods) -> DataFrame:
+def period_split(df: DataFrame, train_date: str, key: Sequence[str], label: str | None = "label", **periods) -> DataFrame:
     """Split by the periods before a training date; rows outside both periods drop out."""
     at = training_periods(F.lit(train_date).cast("date"), **periods)
-    part = (
-        F.when(F.col(SNAPSHOT).between(at["oot_start_date"], at["oot_end_date"]), "oot")
-        .when(F.col(SNAPSHOT).between(at["train_test_start_date"], at["train_test_end_date"]), "train_test"))
-    rows = df.withColumn("part", part).where(F.col("part").isNotNull())
-    return train_test_split(rows, key).withColumn(
-        "split", F.when(F.col("part") == "oot", "oot").otherwise(F.col("split"))).drop("part")
+    early = df.where(F.col(SNAPSHOT).between(at["train_test_start_date"], at["train_test_end_date"]))
+    late = df.where(F.col(SNAPSHOT).between(at["oot_start_date"], at["oot_end_date"]))
+    return train_test_split(early, key, label=label).unionByName(late.withColumn("split", F.lit("oot")))
 
 
 def split_stats(df: DataFrame, label: str = "label") -> DataFrame:

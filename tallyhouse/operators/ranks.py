@@ -1,18 +1,20 @@
 """Exact order statistics without one task per group: quantiles, five numbers, AUC.
 
 Rows are first counted per distinct value (with map-side combining, so copies of a value cost nothing).
-Each group's value range is then cut into cells of about equal size, running totals are taken within the
-cells and over the cell totals, and added up. No window ever spans a whole group of values.
+Values are then placed in cells of two levels, running totals are taken over the cells and within them,
+and added up. The cell of a value is a function of the value and of exact minima and maxima alone, so it is
+the same in every branch of a plan and on every rerun. Cells have a bounded width relative to their values:
+however many rows there are, a window holds a few million rows at most, and more values only fill more cells.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CELLS = 512
+OCTAVE = 1_024     # first-level cells between a value and its double
+INNER = 1 << 22    # second-level cells in one of those
 
 
 def _group_key(by: Sequence[str]) -> Column:
@@ -20,8 +22,22 @@ def _group_key(by: Sequence[str]) -> Column:
     return F.struct(*[F.col(b).alias(b) for b in by]) if by else F.struct(F.lit(0).alias("all"))
 
 
+def _outer_cell(v: Column, octave: int) -> Column:
+    """A whole number that never falls as ``v`` grows: sign and leading bits of the logarithm. NaN comes last, as in sorts."""
+    far = F.lit(1 << 50)
+
+    def place(x: Column) -> Column:
+        return F.floor((F.log2(x) + 1_100) * octave).cast("long") + 1
+
+    infinite = F.lit(float("inf"))
+    return (
+        F.when(F.isnan(v), far + 1).when(v == infinite, far).when(v == -infinite, -far)
+        .when(v > 0, place(v)).when(v < 0, -place(-v)).otherwise(F.lit(0).cast("long")))
+
+
 def running_totals(
-    df: DataFrame, value: str, measures: dict[str, Column], by: Sequence[str] = (), cells: int = CELLS,
+    df: DataFrame, value: str, measures: dict[str, Column], by: Sequence[str] = (), octave: int = OCTAVE,
+    inner: int = INNER,
 ) -> DataFrame:
     """Totals per distinct value, and over all smaller values of the same group.
 
@@ -33,33 +49,29 @@ def running_totals(
         df.groupBy(_group_key(by).alias("group"), F.col(value).alias("value"))
         .agg(*[F.sum(m.cast("long")).alias(n) for n, m in measures.items()])
     )
-    # The edges are taken from the same counts, with the same columns, so that one exchange serves all branches.
-    fractions = F.expr(f"array({', '.join(f'{(i + 1) / cells}D' for i in range(cells - 1))})")
-    step = math.isqrt(cells)
-    edges = counts.groupBy("group").agg(
-        F.array_distinct(F.percentile_approx("value", fractions, 10 * cells)).alias("edges"),
-        *[F.sum(n).alias(f"all_{n}") for n in measures],
-    ).where(
-        # Always true. It keeps the totals in every branch, which would otherwise prune them and count anew.
-        " AND ".join(f"`all_{n}` >= 0" for n in measures)
-    ).withColumn("coarse", F.filter("edges", lambda e, i: i % step == step - 1))
-    # The cell of a value is the number of edges below it, looked up in two short steps.
-    before = F.size(F.filter("coarse", lambda e: e < F.col("value"))) * step
-    inside = F.size(F.filter(F.slice("edges", before + 1, F.lit(step)), lambda e: e < F.col("value")))
-    placed = counts.join(edges, "group").select(
-        "group", "value", *measures, *[f"all_{n}" for n in measures], (before + inside).alias("cell"))
-    earlier = Window.partitionBy("group").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cell_totals = (
-        placed.groupBy("group", "cell").agg(*[F.sum(n).alias(n) for n in measures])
-        .select(
-            "group", "cell",
-            *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"base_{n}") for n in measures])
-    )
-    within = Window.partitionBy("group", "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.join(cell_totals, ["group", "cell"]).select(
+    number = F.col("value").cast("double")
+    counts = counts.withColumn("outer", _outer_cell(number, octave))
+
+    def earlier(*keys: str, order: str):
+        return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def total(n: str, window) -> Column:
+        return F.coalesce(F.sum(n).over(window), F.lit(0))
+
+    outer = counts.groupBy("group", "outer").agg(
+        F.min(number).alias("low"), F.max(number).alias("high"), *[F.sum(n).alias(n) for n in measures])
+    outer = outer.select(
+        "group", "outer", "low", "high", *[total(n, earlier("group", order="outer")).alias(f"base_{n}") for n in measures],
+        *[F.sum(n).over(Window.partitionBy("group")).alias(f"all_{n}") for n in measures])
+    share = (number - F.col("low")) / (F.col("high") - F.col("low"))
+    placed = counts.join(outer, ["group", "outer"]).withColumn(
+        "inner", F.when(F.col("low") == F.col("high"), 0).otherwise(F.floor(share * inner)).cast("int"))
+    cells = placed.groupBy("group", "outer", "inner").agg(*[F.sum(n).alias(n) for n in measures]).select(
+        "group", "outer", "inner", *[total(n, earlier("group", "outer", order="inner")).alias(f"inner_{n}") for n in measures])
+    within = earlier("group", "outer", "inner", order="value")
+    return placed.join(cells, ["group", "outer", "inner"]).select(
         *[F.col("group")[b].alias(b) for b in by], F.col("value").alias(value), *measures,
-        *[(F.col(f"base_{n}") + F.coalesce(F.sum(n).over(within), F.lit(0))).alias(f"before_{n}")
-          for n in measures],
+        *[(F.col(f"base_{n}") + F.col(f"inner_{n}") + total(n, within)).alias(f"before_{n}") for n in measures],
         *[f"all_{n}" for n in measures])
 
 

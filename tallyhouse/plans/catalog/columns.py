@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 from tallyhouse.functions import cleaning as clean, labels
 from tallyhouse.functions.ratios import wide_features
 from tallyhouse.functions.schema import KEY
-from tallyhouse.operators.encode import elements
+from tallyhouse.operators.encode import element_vocabulary, elements
 from tallyhouse.plans.catalog import sql as q
 from tallyhouse.plans.catalog.base import Tables
 from tallyhouse.plans.wide import MONEY, PLAIN_COUNTS, SIGNED_COUNTS, WHOLE, cleaned
@@ -75,10 +75,11 @@ _columns("f23_loan_text", FIN, lambda: {"Type_of_Loan": clean.loan_text(c("Type_
 
 
 def _column_labels(t: Tables):
-    """Column-name form of every loan type found in the data."""
+    """Column-name form of every loan type, from the flags that a fitted vocabulary makes."""
     loans = clean.split_trim(clean.loan_list_text(clean.loan_text(c("Type_of_Loan"))))
     found = elements(t(FIN).select(loans.alias("loans")), "loans")
-    return found.select("element", F.translate("element", " -", "__").alias("column_name"))
+    names = {v: clean.column_label(v) for v in element_vocabulary(t(FIN).select(loans.alias("loans")), "loans")}
+    return found.withColumn("column_name", F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[c("element")])
 
 
 ENTRIES["f24_column_label"] = _column_labels, f"""

@@ -12,11 +12,12 @@ from tallyhouse.operators.periods import in_period
 from tallyhouse.operators.ranks import auc, five_numbers, gini
 from tallyhouse.plans.catalog import sql as q
 from tallyhouse.plans.catalog.base import Tables
-from tallyhouse.plans.catalog.tables import LOANS, OCCUPATIONS
+from tallyhouse.plans.catalog.tables import LOANS, VOCABS
 from tallyhouse.plans.features import CLICK_FEATURES, RISK_FEATURES, attributes_silver
 from tallyhouse.plans.loans import label_store
 from tallyhouse.plans.model import monitoring, predictions, training_set
-from tallyhouse.plans.wide import wide_gold, wide_silver
+from tallyhouse.plans.wide import fit_vocabularies, wide_gold, wide_silver
+from tallyhouse.session import cut_lineage
 from tallyhouse.sources import models as bank, tables as store
 
 c = F.col
@@ -26,19 +27,14 @@ SMALL = {"maxIter": [5], "maxDepth": [2, 3], "stepSize": [0.1]}
 
 
 # --- splits ---
-_BUCKET = "substr(md5(concat(loan_id, CAST(snapshot_date AS VARCHAR), '88')), 1, 4) < 'cccd'"
-ENTRIES["l1_oot_split"] = (
-    lambda t: learn.oot_split(t("loan_labels"), LOAN_KEY),
-    "SELECT *, CASE WHEN snapshot_date = (SELECT max(snapshot_date) FROM loan_labels) THEN 'oot' "
-    f"WHEN {_BUCKET} THEN 'train' ELSE 'test' END AS split FROM loan_labels")
+ENTRIES["l1_oot_split"] = lambda t: learn.oot_split(t("loan_labels"), LOAN_KEY), q.oot_split("loan_labels")
 ENTRIES["l1_period_split"] = (
     lambda t: learn.period_split(t("loan_labels"), "2024-06-01", LOAN_KEY, train_months=2, oot_months=2),
-    "SELECT *, CASE WHEN snapshot_date >= DATE '2024-04-01' THEN 'oot' "
-    f"WHEN {_BUCKET} THEN 'train' ELSE 'test' END AS split FROM loan_labels "
-    "WHERE snapshot_date BETWEEN DATE '2024-02-01' AND DATE '2024-05-31'")
+    q.oot_split(
+        "(SELECT * FROM loan_labels WHERE snapshot_date BETWEEN DATE '2024-02-01' AND DATE '2024-05-31')",
+        first="DATE '2024-04-01'"))
 ENTRIES["l2_train_test_split"] = (
-    lambda t: learn.train_test_split(t("loan_labels"), LOAN_KEY),
-    f"SELECT *, CASE WHEN {_BUCKET} THEN 'train' ELSE 'test' END AS split FROM loan_labels")
+    lambda t: learn.train_test_split(t("loan_labels"), LOAN_KEY), q.stratified("loan_labels", LOAN_KEY))
 
 
 # --- models: no SQL form, rows only ---
@@ -173,7 +169,7 @@ ENTRIES["mo6_engagement_density"] = (
     lambda t: _density(t.engagement, CLICK_FEATURES), _bars(CLICK_FEATURES, "engagement", 100) + _KERNEL)
 ENTRIES["mo6_prediction_density"] = (
     lambda t: _density(t("scores"), ["model_predictions"]), _bars(["model_predictions"], "scores", 100) + _KERNEL)
-_BOXES = ["Outstanding_Debt", "Interest_Rate", "Delay_from_due_date", "Loan_Extent", "Repayment_Ability"]
+_BOXES = RISK_FEATURES
 ENTRIES["mo7_five_numbers"] = (
     lambda t: five_numbers(joins.training_rows(t("loan_labels"), t.risk), _BOXES, ["label"]),
     "SELECT label, feature, min(v) AS minimum, "
@@ -222,15 +218,18 @@ ENTRIES["t2_loan_silver"] = lambda t: t.loan_silver, "SELECT * FROM loan_silver"
 ENTRIES["t3_wide_silver"] = (
     lambda t: wide_silver(*t.raw).withColumn("loan_array", F.array_join("loan_array", "|")),
     "SELECT * REPLACE (array_to_string(loan_array, '|') AS loan_array) FROM wide_silver")
-_VOCABS = {
-    "Occupation": ["Unknown", *OCCUPATIONS], "Credit_Mix": ["Unknown", *clean.CREDIT_MIX_ORDER],
-    "Payment_Behaviour": ["Unknown", *clean.PAYMENT_BEHAVIOUR_V1], "Payment_of_Min_Amount": ["Unknown", "No", "Yes"],
-}
+
+
+def _wide_gold(t: Tables):
+    silver = cut_lineage(wide_silver(*t.raw), "wide-silver")  # read by the fit and by the encoding
+    return wide_gold(silver, *fit_vocabularies(silver))
+
+
 ENTRIES["t4_wide_gold"] = (
-    lambda t: wide_gold(wide_silver(*t.raw), _VOCABS, {"loan_array": LOANS}),
-    f"SELECT * EXCLUDE ({', '.join(_VOCABS)}, Type_of_Loan, cleaned_loans, loan_array), "
+    _wide_gold,
+    f"SELECT * EXCLUDE ({', '.join(VOCABS)}, Type_of_Loan, cleaned_loans, loan_array), "
     + ", ".join(
-        f"CAST({n} = '{v}' AS INT) AS {n}_{clean.column_label(v)}" for n, vs in _VOCABS.items() for v in vs[1:]) + ", "
+        f"CAST({n} = '{v}' AS INT) AS {n}_{clean.column_label(v)}" for n, vs in VOCABS.items() for v in vs[1:]) + ", "
     + ", ".join(f"CAST(list_contains(loan_array, '{v}') AS INT) AS {clean.column_label(v)}"
                 for v in LOANS if v != "not specified") + ", "
     + q.named(q.WIDE_FEATURES, "") + " FROM wide_silver")
@@ -263,7 +262,7 @@ def _predictions(t: Tables):
     rows = learn.oot_split(training_set(t("loan_labels"), t.engagement, t.risk, backward=True), LOAN_KEY)
     model = learn.fit_boosted_trees(
         rows.where(c("split") == "train"), [*CLICK_FEATURES, *RISK_FEATURES], maxIter=5, maxDepth=3)
-    return predictions(t.risk, t.engagement, model, "credit_model_2024_06_01")
+    return predictions(t.risk, t.engagement, model, "credit_model_2024_06_01", backward=True)
 
 
 ENTRIES["t11_predictions"] = _predictions, None

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 
-from tallyhouse.functions.cleaning import PAYMENT_BEHAVIOUR_V1
+from tallyhouse.functions.cleaning import OUTLIER_CAPS, PAYMENT_BEHAVIOUR_V1
 from tallyhouse.sources.views import VIEWS, view_sql
 
 KEY = "Customer_ID, snapshot_date"
+# Characters that each kind of number keeps.
+NUMBER, SIGNED_NUMBER, SIGNED_DIGITS, DIGITS = r"\d.", r"\d.-", r"\d-", r"\d"
 HISTORY = "PARTITION BY Customer_ID ORDER BY snapshot_date"
 
 
@@ -21,12 +23,12 @@ def only(c: str, kept: str) -> str:
 
 
 def money(c: str, n: int | None = 2) -> str:
-    value = f"TRY_CAST({only(c, chr(92) + 'd.')} AS DOUBLE)"
+    value = f"TRY_CAST({only(c, NUMBER)} AS DOUBLE)"
     return value if n is None else half_up(value, n)
 
 
 def signed_decimal(c: str) -> str:
-    return half_up(f"TRY_CAST({only(c, chr(92) + 'd.-')} AS DOUBLE)", 2)
+    return half_up(f"TRY_CAST({only(c, SIGNED_NUMBER)} AS DOUBLE)", 2)
 
 
 def not_negative(x: str) -> str:
@@ -34,11 +36,11 @@ def not_negative(x: str) -> str:
 
 
 def signed_count(c: str) -> str:
-    return not_negative(f"TRY_CAST({only(c, chr(92) + 'd-')} AS INT)")
+    return not_negative(f"TRY_CAST({only(c, SIGNED_DIGITS)} AS INT)")
 
 
 def digit_count(c: str) -> str:
-    return f"TRY_CAST({only(c, chr(92) + 'd')} AS INT)"
+    return f"TRY_CAST({only(c, DIGITS)} AS INT)"
 
 
 def whole(c: str) -> str:
@@ -110,22 +112,18 @@ V1_FINANCIAL = {
 }
 V1_NUMBERS = MONEY + PLAIN_COUNTS + SIGNED_COUNTS + WHOLE + ["Changed_Credit_Limit", "Credit_History_Age"]
 V1_ATTRIBUTES = {"Name": "Name", "Age": FIRST_NUMBER, "SSN": SSN, "Occupation": OCCUPATION_TITLE}
-CLICKS = [f"fe_{i}" for i in range(1, 6)]
+CLICKS = [f"fe_{i}" for i in range(1, 21)]
 
 AMOUNTS = [c for c in MONEY if c != "Credit_Utilization_Ratio"]
 COUNTS = ["Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan", "Delay_from_due_date",
           "Num_of_Delayed_Payment", "Num_Credit_Inquiries", "Interest_Rate"]
-CAPS = {"Num_Bank_Accounts": 10, "Num_Credit_Card": 10, "Interest_Rate": 34, "Num_of_Loan": 9,
-        "Num_of_Delayed_Payment": 47, "Num_Credit_Inquiries": 26}
-
-
 def capped(c: str) -> str:
-    return f"CASE WHEN {digit_count(c)} > {CAPS[c]} THEN {CAPS[c]} ELSE {digit_count(c)} END"
+    return f"CASE WHEN {digit_count(c)} > {OUTLIER_CAPS[c]} THEN {OUTLIER_CAPS[c]} ELSE {digit_count(c)} END"
 
 
 V2_FINANCIAL = {
     **{c: money(c, 3) for c in AMOUNTS},
-    **{c: capped(c) if c in CAPS else digit_count(c) for c in COUNTS},
+    **{c: capped(c) if c in OUTLIER_CAPS else digit_count(c) for c in COUNTS},
     **{c: money(c, None) for c in ("Changed_Credit_Limit", "Credit_Utilization_Ratio")},
     "Type_of_Loan": "Type_of_Loan",
     "Credit_History_Age": HISTORY_MONTHS,
@@ -269,6 +267,28 @@ FROM months m LEFT JOIN found f ON m.{by} = f.{by} AND m.snapshot_date = f.snaps
 LEFT JOIN edges g ON m.{by} = g.{by} AND m.snapshot_date = g.snapshot_date"""
 
 
+def split_place(key: list[str]) -> str:
+    """48 bits of a row's key as a number, the same as in the split itself."""
+    text = ", '|', ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in key)
+    return f"('0x' || substr(md5(concat({text}, '|88')), 1, 12))::BIGINT"
+
+
+def stratified(source: str, key: list[str], label: str = "label") -> str:
+    """Of each label the four fifths with the smallest places."""
+    return (
+        f"SELECT * EXCLUDE (place), CASE WHEN rank() OVER (PARTITION BY {label} ORDER BY place) - 1 < "
+        f"round(0.8 * count(*) OVER (PARTITION BY {label})) THEN 'train' ELSE 'test' END AS split "
+        f"FROM (SELECT *, {split_place(key)} AS place FROM {source})")
+
+
+def oot_split(source: str, key: tuple[str, ...] = ("loan_id", "snapshot_date"), first: str = "") -> str:
+    """The last snapshots (the last one, or those from a date on) out of time, the rest stratified."""
+    first = first or f"(SELECT max(snapshot_date) FROM {source})"
+    return (
+        stratified(f"(SELECT * FROM {source} WHERE snapshot_date < {first})", list(key))
+        + f" UNION ALL SELECT *, 'oot' FROM {source} WHERE snapshot_date >= {first}")
+
+
 def _names(text: str) -> list[str]:
     known = [*VIEWS, *SHARED]
     return [n for n in known if re.search(rf"\b{n}\b", text)]

@@ -15,9 +15,10 @@ from tallyhouse.operators.learn import oot_split, split_stats
 from tallyhouse.operators.ranks import deciles
 from tallyhouse.plans.catalog import sql as q
 from tallyhouse.plans.catalog.base import Tables
-from tallyhouse.plans.features import RISK_FEATURES
+from tallyhouse.plans.features import MODEL_FEATURES, RISK_FEATURES
 from tallyhouse.plans.loans import label_store
-from tallyhouse.plans.wide import cleaned
+from tallyhouse.plans.wide import CATEGORIES, cleaned, fit_vocabularies
+from tallyhouse.session import cut_lineage
 from tallyhouse.sources import tables as store
 
 c = F.col
@@ -68,11 +69,10 @@ ENTRIES["s6_bronze_sink"] = (
 def _rerun_one_month(t: Tables):
     """Write all months, then one of them again with other amounts: the others stay."""
     path = t.scratch("loan_silver")
-    silver = t.loan_silver
-    store.write_snapshots(silver, path)
-    store.write_snapshots(
-        periods.at_snapshot(silver, "1998-03-01").withColumn("dpd", F.lit(-1)), path)
-    return store.scan_table(t.spark, path)
+    store.write_snapshots(t.loan_silver, path, key=("loan_id", "installment_num"))
+    month = cut_lineage(store.scan_snapshot(t.spark, path, "1998-03-01").withColumn("dpd", F.lit(-1)), "month")
+    store.write_snapshots(month, path)
+    return store.scan_table(t.spark, path).select(*t.loan_silver.columns)
 
 
 ENTRIES["s7_rerun_one_month"] = _rerun_one_month, (
@@ -148,8 +148,8 @@ ENTRIES["p12_constants"] = (
 
 
 def _empty_check(t: Tables):
-    scores, late = t("scores"), periods.in_period(t("scores"), "2030-01-01", "2030-12-01")
-    return t.spark.createDataFrame([(store.is_empty(scores), store.is_empty(late))], "scores boolean, future boolean")
+    future = c(SNAPSHOT) >= F.lit("2030-01-01").cast("date")
+    return t("scores").agg((F.count(F.lit(1)) == 0).alias("scores"), (F.count_if(future) == 0).alias("future"))
 
 
 ENTRIES["p13_empty_check"] = _empty_check, (
@@ -195,7 +195,7 @@ ENTRIES["w5_latest_per_key"] = (
     "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY Customer_ID ORDER BY snapshot_date DESC) AS rn "
     "FROM attributes_raw) WHERE rn = 1")
 ENTRIES["i1_median_fill"] = (
-    lambda t: impute.fill_median(_financials_v1(t).select(*KEY, *q.V1_NUMBERS), q.V1_NUMBERS, exact=True),
+    lambda t: impute.fill_median(_financials_v1(t).select(*KEY, *q.V1_NUMBERS), q.V1_NUMBERS),
     f"SELECT {q.named({n: f'coalesce({n}, median_{n})' for n in q.V1_NUMBERS})} FROM financials_v1 CROSS JOIN (SELECT "
     + ", ".join(f"quantile_disc({n}, 0.5) AS median_{n}" for n in q.V1_NUMBERS) + " FROM financials_v1)")
 ENTRIES["i1_median_fill_by_snapshot"] = (
@@ -238,14 +238,10 @@ ENTRIES["g1_lagged_pivot"] = lambda t: t.engagement, f"SELECT {q.KEY}, {', '.joi
 ENTRIES["g2_bad_rate_curve"] = (
     lambda t: bad_rate_curve(t.loan_silver, 30),
     "SELECT mob, count(*) AS n, avg(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS bad_rate FROM loan_silver GROUP BY mob ORDER BY mob")
-_TEST_KEYS = "substr(md5(concat(loan_id, CAST(snapshot_date AS VARCHAR), '88')), 1, 4)"
-_SPLIT = (
-    "CASE WHEN snapshot_date = (SELECT max(snapshot_date) FROM loan_labels) THEN 'oot' "
-    f"WHEN {_TEST_KEYS} < 'cccd' THEN 'train' ELSE 'test' END")
 ENTRIES["g3_split_stats"] = (
     lambda t: split_stats(oot_split(t("loan_labels"), ["loan_id", SNAPSHOT])),
     f"SELECT split, count(*) AS n, {q.half_up('avg(label)', 2)} AS bad_share FROM "
-    f"(SELECT label, {_SPLIT} AS split FROM loan_labels) GROUP BY split")
+    f"({q.oot_split('loan_labels')}) GROUP BY split")
 ENTRIES["g5_max_snapshot"] = (
     lambda t: periods.max_snapshot(t("loan_daily")), "SELECT max(snapshot_date) AS snapshot_date FROM loan_daily")
 
@@ -282,8 +278,7 @@ LOANS = ["auto loan", "credit-builder loan", "home equity loan", "mortgage loan"
 
 def _string_index(t: Tables):
     titled = t("attributes_raw").select(*KEY, clean.occupation_title(c("Occupation")).alias("Occupation"))
-    vocab = encode.vocabulary(titled, "Occupation")
-    return titled.withColumn("Occupation_Indexed", encode.string_index(c("Occupation"), vocab))
+    return encode.index_strings(titled, "Occupation", "Occupation_Indexed")
 
 
 ENTRIES["e1_string_index"] = _string_index, f"""
@@ -292,13 +287,23 @@ ranked AS (SELECT Occupation, CAST(row_number() OVER (ORDER BY count(*) DESC, Oc
   FROM titled WHERE Occupation IS NOT NULL GROUP BY Occupation)
 SELECT t.*, coalesce(i, (SELECT CAST(count(*) AS INT) FROM ranked)) AS Occupation_Indexed
 FROM titled t LEFT JOIN ranked r ON t.Occupation = r.Occupation"""
-ENTRIES["e2_one_hot"] = (
-    lambda t: encode.encode_categories(
-        t("attributes_raw").select(*KEY, clean.occupation_title(c("Occupation")).alias("Occupation")),
-        {"Occupation": OCCUPATIONS}),
-    f"SELECT {q.KEY}, " + ", ".join(
-        f"coalesce(CAST({q.OCCUPATION_TITLE} = '{v}' AS INT), 0) AS Occupation_{clean.column_label(v)}"
-        for v in OCCUPATIONS[1:]) + " FROM attributes_raw")
+def _one_hot(t: Tables):
+    """All four category columns of the wide table, by vocabularies fitted on it."""
+    rows = t("attributes_raw").join(t("financials_raw"), KEY).withColumns(cleaned()).fillna(clean.UNKNOWN, CATEGORIES)
+    rows = rows.select(*KEY, *CATEGORIES)
+    return encode.encode_categories(rows, fit_vocabularies(rows)[0])
+
+
+VOCABS = {
+    "Occupation": [clean.UNKNOWN, *OCCUPATIONS], "Credit_Mix": [clean.UNKNOWN, *clean.CREDIT_MIX_ORDER],
+    "Payment_Behaviour": [clean.UNKNOWN, *clean.PAYMENT_BEHAVIOUR_V1], "Payment_of_Min_Amount": [clean.UNKNOWN, "No", "Yes"],
+}
+ENTRIES["e2_one_hot"] = _one_hot, (
+    "SELECT a.Customer_ID, a.snapshot_date, " + ", ".join(
+        f"coalesce(CAST({e} = '{v}' AS INT), 0) AS {n}_{clean.column_label(v)}"
+        for n, e in (("Occupation", q.OCCUPATION_TITLE), ("Credit_Mix", q.MIX_TITLE), ("Payment_Behaviour", q.BEHAVIOUR_ALLOWED),
+                     ("Payment_of_Min_Amount", q.YES_NO_TEXT)) for v in VOCABS[n][1:])
+    + " FROM attributes_raw a JOIN financials_raw f ON a.Customer_ID = f.Customer_ID AND a.snapshot_date = f.snapshot_date")
 ENTRIES["e3_multi_hot"] = (
     lambda t: encode.encode_categories(
         t("financials_raw").select(
@@ -310,19 +315,19 @@ ENTRIES["e3_multi_hot"] = (
 ENTRIES["e4_ordinal"] = (
     lambda t: t.financials.select(*KEY, "Credit_Mix", "Payment_Behaviour"),
     f"SELECT {q.KEY}, Credit_Mix, Payment_Behaviour FROM financials_silver")
-_SCALED = ["Outstanding_Debt", "Interest_Rate", "Loan_Extent"]
+_SCALED = MODEL_FEATURES
 
 
 def _scaled(t: Tables):
-    rows = oot_split(t.risk.select(*KEY, *_SCALED), KEY)
+    rows = oot_split(joins.feature_set(t.engagement, t.risk).select(*KEY, *_SCALED), KEY, label=None)
     fitted = encode.scaler(rows.where(c("split") == "train"), _SCALED)
     out = encode.scale(rows, fitted, _SCALED)
     return out.select(*KEY, "split", *[F.round(n, 6).alias(n) for n in _SCALED])
 
 
 ENTRIES["e5_scale"] = _scaled, f"""
-WITH parts AS (SELECT {q.KEY}, {', '.join(_SCALED)}, CASE WHEN snapshot_date = (SELECT max(snapshot_date) FROM risk) THEN 'oot'
-  WHEN substr(md5(concat(Customer_ID, CAST(snapshot_date AS VARCHAR), '88')), 1, 4) < 'cccd' THEN 'train' ELSE 'test' END AS split FROM risk),
+WITH parts AS (SELECT {q.KEY}, {', '.join(_SCALED)}, CASE WHEN snapshot_date = (SELECT max(snapshot_date) FROM feature_set) THEN 'oot'
+  WHEN {q.split_place(['Customer_ID', 'snapshot_date'])} < 0.8 * 281474976710656 THEN 'train' ELSE 'test' END AS split FROM feature_set),
 fitted AS (SELECT {', '.join(f'avg({n}) AS mean_{n}, stddev_pop({n}) AS std_{n}' for n in _SCALED)} FROM parts WHERE split = 'train')
 SELECT {q.KEY}, split, {', '.join(q.half_up(f'(({n} - mean_{n}) / (CASE WHEN std_{n} = 0 THEN 1 ELSE std_{n} END))', 6) + f' AS {n}' for n in _SCALED)}
 FROM parts CROSS JOIN fitted"""

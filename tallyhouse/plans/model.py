@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions.schema import CUSTOMER, SNAPSHOT
 from tallyhouse.operators.drift import drift_status, performance_status, psi
-from tallyhouse.operators.impute import HOT_ROWS, complete_rows, ffill_bfill, hot_keys, rows_of
+from tallyhouse.operators.impute import complete_rows, ffill_bfill
 from tallyhouse.operators.joins import feature_set, label_predictions, scoring_set, training_rows
 from tallyhouse.operators.learn import score
 from tallyhouse.operators.periods import in_period
@@ -18,28 +17,16 @@ from tallyhouse.operators.ranks import auc
 from tallyhouse.plans.features import MODEL_FEATURES
 
 
-def _joined_and_filled(
-    join: Callable[[DataFrame, DataFrame], DataFrame], left: DataFrame, right: DataFrame, features: Sequence[str],
-    backward: bool, hot_above: int,
-) -> DataFrame:
-    customers = reduce(DataFrame.unionAll, [s.select(CUSTOMER) for s in (left, right)])
-    hot = hot_keys(customers, [CUSTOMER], hot_above)
-    return ffill_bfill(
-        join(left, right), features, [CUSTOMER], SNAPSHOT, backward,
-        hot_rows=join(rows_of(left, hot), rows_of(right, hot)))
-
-
 def filled_features(
     engagement: DataFrame, risk: DataFrame, backward: bool = False, features: Sequence[str] = tuple(MODEL_FEATURES),
-    hot_above: int = HOT_ROWS,
 ) -> DataFrame:
     """Engagement and risk of all snapshots, gaps filled along each customer's history."""
-    return _joined_and_filled(feature_set, engagement, risk, features, backward, hot_above)
+    return ffill_bfill(feature_set(engagement, risk), features, [CUSTOMER], SNAPSHOT, backward)
 
 
 def training_set(
     labels: DataFrame, engagement: DataFrame, risk: DataFrame, low: str | None = None, high: str | None = None,
-    backward: bool = False, features: Sequence[str] = tuple(MODEL_FEATURES), hot_above: int = HOT_ROWS,
+    backward: bool = False, features: Sequence[str] = tuple(MODEL_FEATURES),
 ) -> DataFrame:
     """Complete labelled rows between two snapshots.
 
@@ -47,16 +34,15 @@ def training_set(
     """
     if low is not None and high is not None:
         labels, engagement, risk = (in_period(t, low, high) for t in (labels, engagement, risk))
-    filled = filled_features(engagement, risk, backward, features, hot_above)
-    return complete_rows(training_rows(labels, filled))
+    return complete_rows(training_rows(labels, filled_features(engagement, risk, backward, features)))
 
 
 def predictions(
     risk: DataFrame, engagement: DataFrame, model: PipelineModel, model_name: str, backward: bool = False,
-    features: Sequence[str] = tuple(MODEL_FEATURES), hot_above: int = HOT_ROWS,
+    features: Sequence[str] = tuple(MODEL_FEATURES),
 ) -> DataFrame:
-    """Scores of all customers with risk features."""
-    filled = _joined_and_filled(scoring_set, risk, engagement, features, backward, hot_above)
+    """Scores of all customers with risk features. ``backward`` is the one the model's training set was made with."""
+    filled = ffill_bfill(scoring_set(risk, engagement), features, [CUSTOMER], SNAPSHOT, backward)
     return score(filled, model, model_name)
 
 

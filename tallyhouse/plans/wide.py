@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,9 +10,7 @@ from tallyhouse.functions import cleaning as clean
 from tallyhouse.functions.ratios import wide_features
 from tallyhouse.functions.schema import CLICK_COLUMNS, CUSTOMER, SNAPSHOT, WIDE_TYPES, enforce
 from tallyhouse.operators.encode import element_vocabulary, encode_categories, vocabulary
-from tallyhouse.operators.impute import (
-    FORWARD, HOT_ROWS, LATEST, fill_const, fill_history, fill_median, hot_keys, rows_of,
-)
+from tallyhouse.operators.impute import FORWARD, LATEST, fill_const, fill_history, fill_median
 from tallyhouse.operators.joins import join_sources
 from tallyhouse.session import cut_lineage
 
@@ -50,27 +47,17 @@ def cleaned(behaviours: Sequence[str] = tuple(clean.PAYMENT_BEHAVIOUR_V1)) -> di
 
 def wide_silver(
     clicks: DataFrame, attributes: DataFrame, financials: DataFrame, median_by: Sequence[str] = (SNAPSHOT,),
-    hot_above: int = HOT_ROWS,
 ) -> DataFrame:
     """Joined, cleaned, forward filled, median filled and typed features of all snapshots.
 
     Fills look back over a customer's history and never ahead, but for names. Medians are taken per
     snapshot, so that a month does not change when a later one arrives; ``median_by=()`` takes them
-    over all rows.
+    over all rows. Sources are joined and cleaned once: fills and medians read the staged result twice.
     """
-    sources = [clicks, attributes, financials]
-    # A customer has at most the sum of its rows in the sources: count there, before any join.
-    customers = reduce(DataFrame.unionAll, [s.select(CUSTOMER) for s in sources])
-    hot = hot_keys(customers, [CUSTOMER], hot_above)
-
-    def joined(parts: Sequence[DataFrame]) -> DataFrame:
-        return join_sources(*parts).withColumns(cleaned())
-
+    joined = cut_lineage(join_sources(clicks, attributes, financials).withColumns(cleaned()), "wide-joined")
     fills = {n: FORWARD for n in [
         "Age", "SSN", "Occupation", "Type_of_Loan", "Credit_Mix", "Payment_Behaviour", *NUMBERS]}
-    filled = fill_history(
-        joined(sources), fills | {"Name": LATEST}, [CUSTOMER], SNAPSHOT,
-        hot_rows=joined([rows_of(s, hot) for s in sources]))
+    filled = fill_history(joined, fills | {"Name": LATEST}, [CUSTOMER], SNAPSHOT)
     named = fill_const(filled, {n: clean.UNKNOWN for n in ["SSN", "Name", *CATEGORIES]})
     loans = clean.loan_list_text(clean.loan_text(F.col("Type_of_Loan")))
     listed = named.withColumns({
@@ -79,12 +66,17 @@ def wide_silver(
         "loan_array": clean.split_trim(loans)})
     present = [n for n in CLICK_COLUMNS if n in clicks.columns]
     return enforce(
-        fill_median(cut_lineage(listed, "wide"), ["Age", *NUMBERS, *present], median_by), WIDE_TYPES, strict=False)
+        fill_median(cut_lineage(listed, "wide-filled"), ["Age", *NUMBERS, *present], median_by), WIDE_TYPES, strict=False)
 
 
 def fit_vocabularies(silver: DataFrame) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
-    """Category and loan-type vocabularies of a wide table, to be kept for all later snapshots."""
-    return {n: vocabulary(silver, n) for n in CATEGORIES}, {"loan_array": element_vocabulary(silver, "loan_array")}
+    """Category and loan-type vocabularies of a wide table, to be kept for all later snapshots.
+
+    The placeholder comes first, so it is the category without a column of its own.
+    """
+    found = {n: vocabulary(silver, n) for n in CATEGORIES}
+    lists = {"loan_array": element_vocabulary(silver, "loan_array")} if "loan_array" in silver.columns else {}
+    return {n: [clean.UNKNOWN, *[v for v in vs if v != clean.UNKNOWN]] for n, vs in found.items()}, lists
 
 
 def wide_gold(

@@ -28,10 +28,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the bench."""
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None,
+) -> SparkSession:
+    """A single-machine session for tests and the bench; ``shared`` is the folder for staged tables."""
+    builder = SparkSession.builder.config("spark.checkpoint.dir", shared) if shared else SparkSession.builder
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("tallyhouse")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
@@ -43,20 +46,28 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder of the cluster; a temporary one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyhouse-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder that the cluster names in ``spark.checkpoint.dir``; it goes when the session ends.
+
+    A session on one machine without that setting gets a folder there. On a cluster the setting has to be
+    there: executors would each write to a disk of their own.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.gettempdir()
+    home = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/tallyhouse-{spark.sparkContext.applicationId}")
+    files = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.mkdirs(home):
+        files.deleteOnExit(home)
+    return f"{home.toString()}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a costly parent that several branches read to the shared folder, and read it back.
 
     As a table it keeps column pruning for the branches, and a lost executor costs no recomputation.
-    Without a shared folder the frame is returned as it is, and its branches are recomputed.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        return df
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -30,7 +30,8 @@ SELECT concat('CUS_', CAST(user_id AS STRING)) AS Customer_ID,
        CAST(NULLIF(SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END), 0) AS INT) AS fe_2,
        CAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) - 2 AS INT) AS fe_3,
        CAST(SUM(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS INT) AS fe_4,
-       CAST(NULLIF(SUM(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END), 1) AS INT) AS fe_5
+       CAST(NULLIF(SUM(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END), 1) AS INT) AS fe_5,
+       {clicks}
 FROM {events}
 GROUP BY user_id, make_date(2024, CAST(floor((day(ts) - 1) / 5) AS INT) + 1, 1)""",
     "attributes_raw": """
@@ -79,8 +80,8 @@ SELECT concat('LN_', CAST(c_custkey AS STRING), '_', CAST(m AS STRING)) AS loan_
        concat('CUS_', CAST(c_custkey AS STRING)) AS Customer_ID,
        CASE WHEN c_acctbal < 1000 OR (c_custkey * 7 + m) % 11 = 0 THEN 1 ELSE 0 END AS label,
        '30dpd_6mob' AS label_def,
-       make_date(2024, m, 1) AS snapshot_date
-FROM {customer} {months}
+       CAST(make_date(2024, CAST(m AS INT), 1) AS DATE) AS snapshot_date
+FROM {customer} {year}
 WHERE c_custkey % 3 = m % 3""",
     "scores": """
 SELECT concat('CUS_', CAST(event_id AS STRING)) AS Customer_ID,
@@ -93,8 +94,14 @@ SELECT l.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS score
 FROM {labels} l JOIN {documents} d ON l.doc_id = d.doc_id""",
 }
 
+# The other click counts: events of one hour class each, some below zero.
+CLICKS = ",\n       ".join(
+    f"CAST(SUM(CASE WHEN hour(ts) % 15 = {i - 6} THEN {1 + i % 3} ELSE 0 END) - {i % 4} AS INT) AS fe_{i}" for i in range(6, 21))
+
 # The six months as a row generator of each engine; in Spark it stays inside code generation.
 SPARK_MONTHS = "LATERAL VIEW explode(sequence(1, 6)) p AS m"
+SPARK_YEAR = "LATERAL VIEW explode(sequence(1, 12)) p AS m"
+DUCKDB_YEAR = "CROSS JOIN range(1, 13) AS p(m)"
 DUCKDB_MONTHS = "CROSS JOIN (VALUES (1), (2), (3), (4), (5), (6)) AS p(m)"
 
 
@@ -103,24 +110,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table read in fewer splits than there are cores, dealt out over all of them; any other as it is.
-
-    For small files under costly row work only: at scale a scan has splits enough and nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the shaped views."""
-    text = VIEWS[name].replace("{months}", SPARK_MONTHS)
+    text = VIEWS[name].replace("{months}", SPARK_MONTHS).replace("{year}", SPARK_YEAR).replace("{clicks}", CLICKS)
     tables = {t: table(spark, sf_dir, t) for t in set(re.findall(r"{(\w+)}", text))}
-    if "customer" in tables:  # multiplied by the months and cleaned column by column
-        tables["customer"] = spread(tables["customer"])
     return spark.sql(text, **tables)
 
 
 def view_sql(name: str) -> str:
     """The view as SQL over the table names."""
-    return re.sub(r"{(\w+)}", r"\1", VIEWS[name].replace("{months}", DUCKDB_MONTHS)).strip()
+    return re.sub(r"{(\w+)}", r"\1", VIEWS[name].replace("{months}", DUCKDB_MONTHS).replace("{year}", DUCKDB_YEAR).replace("{clicks}", CLICKS)).strip()

@@ -7,9 +7,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, memory="4g")
-    if not session.sparkContext.getCheckpointDir():
-        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    session = local_session(8, memory="4g", shared=str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 

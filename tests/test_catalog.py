@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from tallyhouse.plans import catalog
 from tests.compare import differences, duck
 from tests.conftest import SF
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 MODELS = sorted(set(QUERIES) - set(ORACLES))
 
 

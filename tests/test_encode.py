@@ -29,9 +29,15 @@ def test_each_flag_is_its_own_category(df):
         assert r["v_b_c"] + r["v_d"] <= 1 and r["x_y"] == int(r["kept"] == "a") and r["z"] == 1 - r["x_y"]
 
 
-def test_string_index(df):
-    got = {r[0]: r[1] for r in df.select("v", encode.string_index(F.col("v"), ["a", "b c"])).collect()}
-    assert got == {"a": 0, "b c": 1, "d": 2, None: 2}
+def test_string_index_has_no_bound_and_fits_on_other_rows(spark, df):
+    got = {r["v"]: r["i"] for r in encode.index_strings(df, "v", "i").collect()}
+    assert got == {"a": 0, "b c": 1, "d": 2, None: 3}
+    fitted = encode.label_index(df.where("v <> 'd'"), "v")
+    assert {r["v"]: r["i"] for r in encode.index_strings(df, "v", "i", fitted).collect()} == {"a": 0, "b c": 1, "d": 2, None: 2}
+    many = spark.range(3000).selectExpr("concat('c', lpad(cast(id AS string), 4, '0')) AS v")
+    many = many.unionAll(many.where("v < 'c0005'"))
+    found = {r["v"]: r["i"] for r in encode.index_strings(many, "v", "i").collect()}
+    assert found == {f"c{i:04d}": i for i in range(3000)}
 
 
 def test_scale_uses_the_training_rows(spark):

@@ -1,4 +1,4 @@
-"""Fills and medians against plain Python, on the window way and on the way of hot keys."""
+"""Fills and medians against plain Python."""
 
 import datetime as dt
 import random
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import impute as im
 
 SCHEMA = "k string, t date, a int, s string"
-NEVER, ALWAYS = 10**9, 0
 
 
 def day(m):
@@ -45,46 +44,43 @@ def key(r):
 
 
 @pytest.mark.parametrize("kind", ["forward", "backward", "both", "latest", "earliest"])
-@pytest.mark.parametrize("hot_above", [NEVER, 11, ALWAYS])
-def test_fill_equals_brute_force(spark, kind, hot_above):
+def test_fill_equals_brute_force(spark, kind):
     rows = sample()
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    got = im.fill_history(df, {"a": kind}, ["k"], "t", hot_above=hot_above).collect()
+    got = im.fill_history(df, {"a": kind}, ["k"], "t").collect()
     assert sorted(map(tuple, got), key=key) == sorted(brute(rows, kind), key=key)
 
 
-def test_copies_of_a_key_and_snapshot_fill_alike_on_both_ways(spark):
+def test_copies_of_a_key_and_snapshot_take_a_peers_value(spark):
     rng = random.Random(3)
     rows = [("hot", day(rng.randint(0, 3)), rng.choice([None, 1, 2, 3]), None) for _ in range(400)]
     rows += [(f"k{i}", day(i % 12), i, None) for i in range(800)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(8)
-    for f in (im.ffill, im.ffill_bfill):
-        window = f(df, ["a"], ["k"], "t", hot_above=NEVER)
-        split = f(df, ["a"], ["k"], "t", hot_above=100)
-        assert window.count() == split.count() == len(rows)
-        assert window.exceptAll(split).count() == 0 == split.exceptAll(window).count()
-
-
-def test_hot_rows_are_spread_over_tasks(spark):
-    df = spark.range(3000).selectExpr(
-        "CASE WHEN id < 1000 THEN 'hot' ELSE concat('k', id) END AS k", "date'2024-01-01' AS t",
-        "CASE WHEN id % 2 = 0 THEN id END AS a").repartition(8)
-    assert [r["k"] for r in im.hot_keys(df, ["k"], 100).collect()] == ["hot"]
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for kind in ("forward", "both", "backward"):
+        got = im.fill_history(df, {"a": kind}, ["k"], "t").collect()
+        assert sorted(map(tuple, got), key=key) == sorted(brute(rows, kind), key=key)
+
+
+def test_no_task_holds_the_rows_of_a_hot_key(spark):
+    """A key with a third of all rows goes into the windows as one row per snapshot, and its join is split."""
+    df = spark.range(300_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS k", "add_months(date'2024-01-01', cast(id % 6 as int)) AS t",
+        "CASE WHEN id % 2 = 0 THEN id END AS a", "concat(sha2(cast(id AS string), 512), sha2(cast(-id AS string), 512)) AS s")
+    history = im._history(df, {"a": "forward"}, ["k"], "t")
+    assert history.where("known_k = 'hot'").count() <= 6
+    kept = {n: spark.conf.get(n) for n in (
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.autoBroadcastJoinThreshold")}
     try:
-        out = im.ffill(df, ["a"], ["k"], "t", hot_above=100).withColumn("task", F.spark_partition_id())
-        largest = [r["count"] for r in out.where("k = 'hot'").groupBy("task").count().collect()]
+        for name, value in zip(kept, ("256k", "256k", "1", "-1")):
+            spark.conf.set(name, value)
+        out = im.ffill(df, ["a"], ["k"], "t").withColumn("task", F.spark_partition_id())
+        # the long column is asked for, so that it is shuffled
+        sizes = [r["n"] for r in out.where("k = 'hot'").groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.max("s")).collect()]
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert sum(largest) == 1000 and len(largest) == 8 and max(largest) < 250
-
-
-def test_more_hot_keys_than_the_bound_still_fill(spark):
-    rows = sample()
-    df = spark.createDataFrame(rows, SCHEMA)
-    few = im.rows_of(df, im.hot_keys(df, ["k"], above=1, most=2))
-    got = im.fill_history(df, {"a": "forward"}, ["k"], "t", hot_rows=few).collect()
-    assert sorted(map(tuple, got), key=key) == sorted(brute(rows, "forward"), key=key)
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 100_000 and len(sizes) > 6 and max(sizes) < 50_000
 
 
 def test_forward_fill_is_idempotent(spark):
@@ -120,12 +116,24 @@ def test_medians(spark, exact):
         known = sorted(v for v in values if v is not None)
         return known[(len(known) + 1) // 2 - 1]
 
-    f = im.exact_medians if exact else im.medians
+    f = im.medians if exact else im.approximate_medians
     for r in f(df, ["i", "x"], ["g"]).collect():
         mine = [q for q in rows if q[0] == r["g"]]
         assert r["median_i"] == low_median(q[1] for q in mine) and r["median_x"] == low_median(q[2] for q in mine)
-    filled = im.fill_median(df, ["i"], exact=exact)
+    filled = im.fill_median(df, ["i"])
     assert filled.schema["i"].dataType.simpleString() == "int"
     assert filled.where("i IS NULL").count() == 0
     counts = im.null_counts(df).first()
     assert counts["i"] == sum(r[1] is None for r in rows) and counts["x"] == 0
+
+
+def test_medians_are_exact_with_many_distinct_values(spark):
+    """More distinct values than a sketch of 10,000 entries keeps, in groups of odd and even size."""
+    n = 60_001
+    df = spark.range(2 * n + 1).selectExpr("id % 2 AS g", "CAST(pmod(id * 7919, 1000003) AS DOUBLE) / 7 AS x")
+    values = {0: [], 1: []}
+    for i in range(2 * n + 1):
+        values[i % 2].append((i * 7919 % 1000003) / 7)
+    want = {g: sorted(v)[(len(v) + 1) // 2 - 1] for g, v in values.items()}
+    assert {r["g"]: r["median_x"] for r in im.medians(df, ["x"], ["g"]).collect()} == want
+    assert {r["g"]: r["median_x"] for r in im.approximate_medians(df, ["x"], ["g"]).collect()} != want

@@ -27,6 +27,24 @@ def test_split_is_stable_and_about_four_fifths(rows):
     assert split.exceptAll(again).count() == 0
 
 
+@pytest.mark.parametrize("ratio", [0, 0.5, 0.8, 1])
+def test_split_is_stratified_and_exact(rows, ratio):
+    split = learn.train_test_split(rows, KEY, ratio)
+    assert split.count() == rows.count()
+    for label in (0, 1):
+        mine = split.where(f"label = {label}")
+        assert mine.where("split = 'train'").count() == round(ratio * mine.count())
+    near = learn.train_test_split(rows, KEY, ratio, label=None).where("split = 'train'").count() / 900
+    assert near == ratio if ratio in (0, 1) else abs(near - ratio) < 0.06
+    with pytest.raises(ValueError, match="ratio"):
+        learn.train_test_split(rows, KEY, 1.2)
+
+
+def test_parts_of_a_key_are_told_apart(spark):
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), (None, "abc"), ("abc", None)], "x string, y string")
+    assert df.select(learn.split_place(["x", "y"])).distinct().count() == 4
+
+
 def test_periods(spark):
     at = training_periods(F.lit("2024-09-01").cast("date"))
     got = spark.range(1).select(*[e.cast("string").alias(n) for n, e in at.items()]).first().asDict()

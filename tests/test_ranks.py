@@ -20,9 +20,9 @@ def df(spark, rows):
     return spark.createDataFrame(rows, "g string, label int, x double").repartition(6)
 
 
-@pytest.mark.parametrize("cells", [2, 7, 512])
-def test_running_totals(df, rows, cells):
-    got = running_totals(df, "x", {"n": F.lit(1), "bad": F.col("label")}, ["g"], cells).collect()
+@pytest.mark.parametrize("octave, inner", [(1, 1), (1, 3), (2, 1 << 22), (1024, 1 << 22)])
+def test_running_totals(df, rows, octave, inner):
+    got = running_totals(df, "x", {"n": F.lit(1), "bad": F.col("label")}, ["g"], octave, inner).collect()
     assert len(got) == len({(g, x) for g, _, x in rows})
     for r in got:
         same = [q for q in rows if q[0] == r["g"]]
@@ -63,3 +63,23 @@ def test_auc(df, rows):
 
 def test_gini(spark):
     assert spark.range(1).select(gini(F.lit(0.7125))).first()[0] == pytest.approx(0.425)
+
+
+def test_cells_follow_the_order_of_values(spark):
+    """Signs, zeros, powers apart, neighbours, infinities and NaN: no cell is before that of a smaller value."""
+    import math
+
+    from tallyhouse.operators.ranks import _outer_cell
+
+    near = [math.nextafter(x, s * math.inf) for x in (1.0, -2.0, 1e300, 0.1) for s in (1, -1)]
+    values = sorted([0.0, 5e-324, -5e-324, 1e308, -1e308, math.inf, -math.inf, 3.0, -3.0, *near, *[1.1**k for k in range(-90, 90)]]) + [math.nan]
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    cells = [r.c for r in got.orderBy("i").select(_outer_cell(F.col("v"), 1024).alias("c")).collect()]
+    assert cells == sorted(cells) and len(set(cells)) > 150
+    ranked = running_totals(got, "v", {"n": F.lit(1)}).orderBy("v").collect()
+    assert [r.before_n for r in ranked] == list(range(len(values)))
+
+
+def test_no_sketch_in_the_plan(df):
+    text = running_totals(df, "x", {"n": F.lit(1)}, ["g"])._jdf.queryExecution().toString()
+    assert "percentile" not in text and "Broadcast" not in text.split("Physical")[0]
