@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import cleaning as clean
 from tallyhouse.functions.schema import SNAPSHOT, columns_with_prefix
 from tallyhouse.operators import drift, joins, learn
-from tallyhouse.operators.impute import complete_rows
 from tallyhouse.operators.periods import in_period
 from tallyhouse.operators.ranks import auc, five_numbers, gini
 from tallyhouse.plans.catalog import sql as q
 from tallyhouse.plans.catalog.base import Tables
 from tallyhouse.plans.catalog.tables import LOANS, VOCABS
-from tallyhouse.plans.features import CLICK_FEATURES, RISK_FEATURES, attributes_silver
+from tallyhouse.plans.features import CLICK_FEATURES, MODEL_FEATURES, RISK_FEATURES, attributes_silver
 from tallyhouse.plans.loans import label_store
-from tallyhouse.plans.model import monitoring, predictions, training_set
+from tallyhouse.plans.model import filled_features, monitoring, predictions, training_set
 from tallyhouse.plans.wide import fit_vocabularies, wide_gold, wide_silver
 from tallyhouse.session import cut_lineage
 from tallyhouse.sources import models as bank, tables as store
@@ -23,7 +23,6 @@ from tallyhouse.sources import models as bank, tables as store
 c = F.col
 ENTRIES: dict = {}
 LOAN_KEY = ["loan_id", SNAPSHOT]
-SMALL = {"maxIter": [5], "maxDepth": [2, 3], "stepSize": [0.1]}
 
 
 # --- splits ---
@@ -37,32 +36,78 @@ ENTRIES["l2_train_test_split"] = (
     lambda t: learn.train_test_split(t("loan_labels"), LOAN_KEY), q.stratified("loan_labels", LOAN_KEY))
 
 
-# --- models: no SQL form, rows only ---
+# --- models. A fitted tree has no SQL form, but what surrounds it has: rows, splits, keys, names and ranges ---
+FEATURES = MODEL_FEATURES
+SMALL = {"maxIter": [5], "maxDepth": [2, 3], "stepSize": [0.1], "subsamplingRate": [0.6, 0.8]}
+LATER = [f"2024-{m:02d}-01" for m in range(7, 13)]  # months with half a year of history
+
+
 def _rows(t: Tables):
-    """Labelled risk features; clicks exist for a few customers only."""
-    return learn.oot_split(complete_rows(joins.training_rows(t("loan_labels"), t.risk)), LOAN_KEY)
+    """Complete labelled rows of all features, filled both ways as for scoring, with their split."""
+    return learn.oot_split(training_set(t("loan_labels"), t.engagement, t.risk, backward=True), LOAN_KEY)
 
 
-def _fit(t: Tables):
-    return learn.fit_boosted_trees(_rows(t).where(c("split") == "train"), RISK_FEATURES, maxIter=5, maxDepth=3)
+def _training_sql(fill) -> str:
+    cols = [*CLICK_FEATURES, *RISK_FEATURES]
+    return (
+        "WITH filled AS (SELECT " + q.named({n: fill(n) for n in cols}) + " FROM feature_set) "
+        "SELECT l.*, " + ", ".join(cols) + " FROM loan_labels l JOIN filled f ON l.Customer_ID = f.Customer_ID "
+        "AND l.snapshot_date = f.snapshot_date WHERE " + " AND ".join(f"{n} IS NOT NULL" for n in cols))
 
 
-ENTRIES["l3_boosted_trees"] = lambda t: learn.split_auc(_fit(t), _rows(t)), None
+_SPLIT_ROWS = q.oot_split(f"({_training_sql(q.both_filled)})")
 
 
-def _search(t: Tables):
-    return learn.train_model(
-        _rows(t), RISK_FEATURES, "2024-06-01", LOAN_KEY, grid=SMALL, draws=2, folds=2)[1].drop("hp_params")
+def _fit(t: Tables, rows=None):
+    rows = _rows(t) if rows is None else rows
+    return learn.fit_boosted_trees(rows.where(c("split") == "train"), FEATURES, maxIter=5, maxDepth=3)
+
+
+def _share(name: str):
+    """Whether a figure is a share, as an AUC or a probability is; a group of one class has none."""
+    return F.coalesce(c(name).between(0, 1), F.lit(True)).alias(f"{name}_valid")
+
+
+def _trees(t: Tables):
+    rows = cut_lineage(_rows(t), "training-rows")
+    return learn.split_auc(_fit(t, rows), rows).select("split", "positives", "negatives", _share("auc"))
+
+
+ENTRIES["l3_boosted_trees"] = _trees, (
+    "SELECT split, CAST(sum(label) AS BIGINT) AS positives, CAST(sum(1 - label) AS BIGINT) AS negatives, TRUE AS auc_valid "
+    f"FROM ({_SPLIT_ROWS}) GROUP BY split")
 
 
-ENTRIES["l4_random_search"] = _search, None
+def _search(t: Tables):
+    record = learn.train_model(_rows(t), FEATURES, "2024-12-01", LOAN_KEY, grid=SMALL, draws=4, folds=3)[1]
+    parts = ("train", "test", "oot")
+    return record.select(
+        SNAPSHOT, "model_version", *[f"n_{p}" for p in parts], *[f"bad_share_{p}" for p in parts],
+        _share("auc_cv"), *[_share(f"auc_{p}") for p in parts])
+
+
+ENTRIES["l4_random_search"] = _search, (
+    "SELECT DATE '2024-12-01' AS snapshot_date, 'credit_model_2024_12_01' AS model_version, "
+    + ", ".join(f"CAST(count_if(split = '{p}') AS BIGINT) AS n_{p}" for p in ("train", "test", "oot")) + ", "
+    + ", ".join(q.half_up(f"avg(CASE WHEN split = '{p}' THEN label END)", 2) + f" AS bad_share_{p}" for p in ("train", "test", "oot"))
+    + ", TRUE AS auc_cv_valid, " + ", ".join(f"TRUE AS auc_{p}_valid" for p in ("train", "test", "oot")) + f" FROM ({_SPLIT_ROWS})")
 ENTRIES["l5_auc"] = (
     lambda t: auc(t("doc_scores"), "label", "score").withColumn("gini", gini(c("auc"))),
     f"SELECT *, {q.half_up('(2 * auc - 1)', 3)} AS gini FROM ({q.area('doc_scores', 'label', 'score')})")
 ENTRIES["l5_auc_by_snapshot"] = (
     lambda t: auc(joins.label_predictions(t("loan_labels"), t("scores")), "label", "model_predictions", [SNAPSHOT]),
     q.area("scored_labels", "label", "model_predictions", "snapshot_date"))
-ENTRIES["l6_batch_score"] = lambda t: learn.score(t.risk, _fit(t), "credit_model_2024_06_01"), None
+_SCORED = "SELECT Customer_ID, snapshot_date, 'credit_model_2024_{}' AS model_name, TRUE AS model_predictions_valid FROM {}"
+
+
+def _checked(scores):
+    return scores.select("Customer_ID", SNAPSHOT, "model_name", _share("model_predictions"))
+
+
+ENTRIES["l6_batch_score"] = (
+    lambda t: _checked(learn.score(
+        filled_features(t.engagement, t.risk, backward=True), _fit(t), "credit_model_2024_12_01")),
+    _SCORED.format("12_01", "feature_set"))
 
 
 def _click_scores(t: Tables):
@@ -72,34 +117,42 @@ def _click_scores(t: Tables):
     rows = learn.period_split(
         joins.training_rows(t("loan_labels"), clicks), "2024-07-01", LOAN_KEY, train_months=4, oot_months=2)
     model = learn.fit_boosted_trees(rows.where(c("split") == "train"), features, maxIter=5, maxDepth=2)
-    return learn.score(clicks, model, "credit_model_2024_07_01")
+    return _checked(learn.score(clicks, model, "credit_model_2024_07_01"))
 
 
-ENTRIES["l6_batch_score_clicks"] = _click_scores, None
+ENTRIES["l6_batch_score_clicks"] = _click_scores, _SCORED.format("07_01", "clickstream_raw")
 
 
 def _ceiling(t: Tables):
-    def rows_up_to(snapshot: str):
-        labels = in_period(t("loan_labels"), "2024-01-01", snapshot)
-        return complete_rows(joins.training_rows(labels, t.risk))
-
+    filled = cut_lineage(training_set(t("loan_labels"), t.engagement, t.risk, backward=True), "training-rows")
     return learn.performance_ceiling(
-        rows_up_to, ["2024-05-01", "2024-06-01"], RISK_FEATURES, LOAN_KEY,
-        grid={"maxIter": [3], "maxDepth": [2]}, draws=1, folds=2)
+        lambda snapshot: in_period(filled, "2024-01-01", snapshot), LATER, FEATURES, LOAN_KEY,
+        grid={"maxIter": [3], "maxDepth": [2]}, draws=1, folds=2,
+    ).select(SNAPSHOT, *[_share(f"auc_{p}") for p in ("train", "test", "oot")])
 
 
-ENTRIES["l7_performance_ceiling"] = _ceiling, None
+ENTRIES["l7_performance_ceiling"] = _ceiling, (
+    "SELECT CAST(unnest(generate_series(DATE '2024-07-01', DATE '2024-12-01', INTERVAL 1 MONTH)) AS DATE) AS snapshot_date, "
+    + ", ".join(f"TRUE AS auc_{p}_valid" for p in ("train", "test", "oot")))
 
 
 def _round_trip(t: Tables):
-    path = t.scratch("model")
+    """A model and its record saved and loaded: every row gets the score it had."""
+    path, rows = t.scratch("model"), cut_lineage(_rows(t), "training-rows")
     record = t("loan_labels").agg(F.max(SNAPSHOT).alias(SNAPSHOT), F.count(F.lit(1)).alias("n_labels"))
-    bank.save_model(_fit(t), record, path)
-    model, read = bank.load_model(t.spark, path)
-    return learn.split_auc(model, _rows(t)).crossJoin(F.broadcast(read))  # the record is one row
+    saved = _fit(t, rows)
+    bank.save_model(saved, record, path)
+    loaded, read = bank.load_model(t.spark, path)
+    scored = loaded.transform(saved.transform(rows).select(
+        *rows.columns, F.get(vector_to_array("probability"), F.lit(1)).alias("before")))
+    same = F.get(vector_to_array("probability"), F.lit(1)) == c("before")
+    counts = scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(same).alias("n_same"))
+    return counts.crossJoin(F.broadcast(read))  # one row each
 
 
-ENTRIES["s11_model_round_trip"] = _round_trip, None
+ENTRIES["s11_model_round_trip"] = _round_trip, (
+    f"SELECT n_rows, n_rows AS n_same, snapshot_date, n_labels FROM (SELECT count(*) AS n_rows FROM ({_SPLIT_ROWS})) "
+    "CROSS JOIN (SELECT max(snapshot_date) AS snapshot_date, count(*) AS n_labels FROM loan_labels)")
 
 
 # --- monitoring ---
@@ -243,14 +296,6 @@ ENTRIES["t8_engagement"] = lambda t: t.engagement, "SELECT * FROM engagement"
 ENTRIES["t9_risk"] = lambda t: t.risk, "SELECT * FROM risk"
 
 
-def _training_sql(fill) -> str:
-    cols = [*CLICK_FEATURES, *RISK_FEATURES]
-    return (
-        "WITH filled AS (SELECT " + q.named({n: fill(n) for n in cols}) + " FROM feature_set) "
-        "SELECT l.*, " + ", ".join(cols) + " FROM loan_labels l JOIN filled f ON l.Customer_ID = f.Customer_ID "
-        "AND l.snapshot_date = f.snapshot_date WHERE " + " AND ".join(f"{n} IS NOT NULL" for n in cols))
-
-
 ENTRIES["t10_training_set"] = (
     lambda t: training_set(t("loan_labels"), t.engagement, t.risk, backward=True), _training_sql(q.both_filled))
 ENTRIES["t10_training_set_no_look_ahead"] = (
@@ -258,12 +303,9 @@ ENTRIES["t10_training_set_no_look_ahead"] = (
 
 
 def _predictions(t: Tables):
-    """Train on the complete rows, score every customer with risk features."""
-    rows = learn.oot_split(training_set(t("loan_labels"), t.engagement, t.risk, backward=True), LOAN_KEY)
-    model = learn.fit_boosted_trees(
-        rows.where(c("split") == "train"), [*CLICK_FEATURES, *RISK_FEATURES], maxIter=5, maxDepth=3)
-    return predictions(t.risk, t.engagement, model, "credit_model_2024_06_01", backward=True)
+    """Train on the complete rows, score every customer with risk features, both filled alike."""
+    return _checked(predictions(t.risk, t.engagement, _fit(t), "credit_model_2024_12_01", backward=True))
 
 
-ENTRIES["t11_predictions"] = _predictions, None
+ENTRIES["t11_predictions"] = _predictions, _SCORED.format("12_01", "risk")
 ENTRIES["t12_monitoring"] = _monitoring, _MONITORING
