@@ -50,7 +50,7 @@ def running_totals(
         .agg(*[F.sum(m.cast("long")).alias(n) for n, m in measures.items()])
     )
     number = F.col("value").cast("double")
-    counts = counts.withColumn("outer", _outer_cell(number, octave))
+    counts = counts.withColumn("outer", F.coalesce(_outer_cell(number, octave), F.lit(0)))  # never null, so no branch gets a filter
 
     def earlier(*keys: str, order: str):
         return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -63,6 +63,8 @@ def running_totals(
     outer = outer.select(
         "group", "outer", "low", "high", *[total(n, earlier("group", order="outer")).alias(f"base_{n}") for n in measures],
         *[F.sum(n).over(Window.partitionBy("group")).alias(f"all_{n}") for n in measures])
+    # Always true. It keeps the totals in every branch, which would otherwise prune them and read the rows anew.
+    outer = outer.where(" AND ".join(f"`all_{n}` >= 0 AND `base_{n}` >= 0" for n in measures))
     share = (number - F.col("low")) / (F.col("high") - F.col("low"))
     placed = counts.join(outer, ["group", "outer"]).withColumn(
         "inner", F.when(F.col("low") == F.col("high"), 0).otherwise(F.floor(share * inner)).cast("int"))
