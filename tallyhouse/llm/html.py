@@ -27,7 +27,8 @@ SEED = 20
 
 # fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea template noscript iframe svg math object canvas".split())
+RAW = frozenset("script style title textarea iframe".split())
+UNSEEN = frozenset("template noscript svg math object canvas".split())  # what they hold is left out if they are closed
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot"
@@ -39,7 +40,10 @@ ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
-TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]{0,8000}+"|'[^']{0,8000}+'|["'])*+)>)""", re.S)
+TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][a-zA-Z0-9:-]*+))", re.S)
+# the rest of a tag: a quote opens a value after an equals sign only, and one without a partner is a plain character
+ATTRIBUTES = re.compile(r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
+UNQUOTED = re.compile(r"([^>]*+)>")
 NAMES = re.compile(r"""(?:class|id|role|aria-label|itemprop|data-role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""display\s*:\s*none|visibility\s*:\s*hidden|(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true""", re.I)
 PART = re.compile(r"[a-z]+")
@@ -81,19 +85,20 @@ def _groups(attributes: str) -> frozenset:
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks in page order. What has no end tag ends with its parent; an end tag without a start is passed over."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset, bool]] = []
+    stack: list[tuple[str, frozenset, bool, tuple | None]] = []
     parts: list[str] = []
     linked, links, at = 0, 0, 0
+    rest_of_tag = ATTRIBUTES
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, parts
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                named = [g for _, g, _ in stack if g]
+                named = [g for _, g, *_ in stack if g]
                 block = next((t for t, *_ in reversed(stack) if t in BLOCK), "")
-                out.append(Block(text, block, frozenset(t for t, *_ in stack), frozenset().union(*named), frozenset().union(*named[-2:]), min(linked, len(text)), any(h for *_, h in stack)))
-            parts.clear()
+                out.append(Block(text, block, frozenset(t for t, *_ in stack), frozenset().union(*named), frozenset().union(*named[-2:]), min(linked, len(text)), any(h for _, _, h, _ in stack)))
+            parts = []  # an open element may hold the list it began in
         linked = 0
 
     def add(text: str) -> None:
@@ -109,6 +114,14 @@ def blocks_of(page: str) -> list[Block]:
         at = m.end()
         if not m[2]:
             continue
+        found = rest_of_tag.match(page, at)
+        if not found and rest_of_tag is ATTRIBUTES:  # quotes hide each end up to the last: from here on they are plain
+            rest_of_tag = UNQUOTED
+            found = rest_of_tag.match(page, at)
+        if not found:
+            at = m.start()
+            break
+        attributes, at = found[1], found.end()
         name = m[2].lower()
         if name in BLOCK:
             flush()
@@ -118,13 +131,16 @@ def blocks_of(page: str) -> list[Block]:
                 links = 0
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
+                    if stack[i][3]:
+                        n_out, parts, n_parts, linked, links = stack[i][3]
+                        del out[n_out:], parts[n_parts:]
                     del stack[i:]
                     break
-                if name not in BLOCK and stack[i][0] in BLOCK:
+                if name not in BLOCK and name not in UNSEEN and stack[i][0] in BLOCK:
                     break  # an inline end tag does not end a block
             continue
         if name in RAW:
-            if not m[3].endswith("/"):
+            if not attributes.endswith("/"):
                 end = re.compile(rf"</{name}\s*[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
@@ -138,8 +154,9 @@ def blocks_of(page: str) -> list[Block]:
             _end(stack, *ENDS[name])
         if name == "a":
             links = 1
-        if not m[3].endswith("/") or name not in BLOCK:
-            stack.append((name, _groups(m[3]), bool(m[3]) and bool(HIDDEN.search(m[3]))))
+        if not attributes.endswith("/") or (name not in BLOCK and name not in UNSEEN):
+            before = (len(out), parts, len(parts), linked, links) if name in UNSEEN else None
+            stack.append((name, _groups(attributes), bool(attributes) and bool(HIDDEN.search(attributes)), before))
     add(page[at:])
     flush()
     return out
@@ -149,7 +166,7 @@ def _end(stack: list, names: set, within: set) -> None:
     for i in range(len(stack) - 1, -1, -1):
         if stack[i][0] in names:
             del stack[i:]
-        elif stack[i][0] in within:
+        elif stack[i][0] in within or stack[i][0] in UNSEEN:
             break
 
 

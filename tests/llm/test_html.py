@@ -45,3 +45,20 @@ def test_given_pages(spark, sf, field):
     rows = spark.read.parquet(f"{sf}/pages.parquet").collect()
     for r in rows:
         assert main_text(field, r.html) == "\n".join(b.text for b in blocks_of(r.html) if "article" in b.ancestors)
+
+
+def test_long_and_odd_attribute_values():
+    uri = "data:image/png;base64," + "A" * 20_000
+    page = f'<article><p class="a">One.</p><img src="{uri}"><p class="b">Two.</p><img alt=\'{uri}\'><p class="c">Three.</p></article><footer class="d">End.</footer>'
+    assert [b.text for b in blocks_of(page)] == ["One.", "Two.", "Three.", "End."]
+    assert [b.text for b in blocks_of("<p title=it's>a</p><p title='b>c'>d</p><p x=\"e>f</p>")] == ["a", "d", "f"]
+    assert [b.text for b in blocks_of('<p>a</p><p x=">b</p>" y')] == ["a", 'b', '" y']
+    assert len(blocks_of('<p x=">" ' * 20_000)) <= 20_001 and blocks_of("<p " * 50_000) != []
+
+
+@pytest.mark.parametrize("name", ["noscript", "object", "svg", "math", "canvas", "template"])
+def test_what_an_unclosed_element_holds_stays(name):
+    closed = f"<article><p>One <{name}><b>no</b></{name}>two.</p><{name}><div><p>no<p>no</{name}><p>Three.</p></article>"
+    assert [b.text for b in blocks_of(closed)] == ["One two.", "Three."]
+    unclosed = f"<article><p>One.</p><{name}><p>Two.</p><p>Three.</p></article><footer>End.<{name}>no</{name}></footer>"
+    assert [b.text for b in blocks_of(unclosed)] == ["One.", "Two.", "Three.", "End."]
