@@ -28,7 +28,7 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tallyhouse.llm.blocks import FOUND, SENT, block_count, columns, placed_values, received, send, sent_rows, share, text_bytes, with_block
 from tallyhouse.llm.components import components
@@ -225,14 +225,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return joined.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id and class_id, the smallest doc_id of the documents it is linked with directly or through others.
-
-    Linked are documents whose shingle counts have a probability Jaccard similarity of `similarity` or more; documents with the
-    same normalised words always are, so those without words, null ones among them, are one class. Rows with the same id are
-    one document if they have the same words, else the class of each is found by its own words. A row without an id is in a
-    class without an id. Columns but doc_id and text are not read. One row per document row.
-    """
+def _roots(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Signatures of all rows, and each content with the smallest id that has it and the root of its class."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = cut_lineage(signatures(docs), "signatures")
     known = signed.filter(F.col("doc_id").isNotNull())
@@ -272,7 +266,18 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     once = F.col("key") == F.array_min(F.array_intersect("mark.bands", "other_mark.bands"))
     more = verified(named.join(other, "key").filter((F.col("root") < F.col("other_root")) & likely & once))
     labels = components(links.unionByName(more))
-    roots = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return signed, nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id and class_id, the smallest doc_id of the documents it is linked with directly or through others.
+
+    Linked are documents whose shingle counts have a probability Jaccard similarity of `similarity` or more; documents with the
+    same normalised words always are, so those without words, null ones among them, are one class. Rows with the same id are
+    one document if they have the same words, else the class of each is found by its own words. A row without an id is in a
+    class without an id. Columns but doc_id and text are not read. One row per document row.
+    """
+    signed, roots = _roots(docs, similarity)
     named = roots.groupBy("root").agg(F.min("first").alias("class_id")).join(roots.select("root", "content"), "root").select("content", "class_id")
     found = signed.select("doc_id", "content").join(named, "content", "left")
     return found.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
@@ -286,12 +291,26 @@ def _own_content(batches):
         yield pa.RecordBatch.from_arrays([batch["node"].filter(own), pa.array(norm, pa.binary()).filter(own)], ["node", "text"])
 
 
+def _with_content(batches):
+    """Each row with the hash of its normalised words."""
+    for batch in batches:
+        norm = (normal(t) for t in encode(batch["text"].cast(pa.string()).to_pylist()))
+        content = pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in norm], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns, content], [*batch.schema.names, "_content"])
+
+
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without those of a class with a smaller id, with the columns they had.
+    """One row of each class, of its smallest id, with the columns it had; rows without an id stay all.
 
-    Of rows with the same id one stays; rows without an id stay all.
+    Rows with the same id and different words are each judged by the class of their own words. Of several rows of a class with
+    its smallest id that with the smallest hash of its words stays, of those with the same words the smallest row, text first.
     """
     named = docs.columns
-    kept = classes(docs, similarity).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    own = docs.filter(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    kept = _roots(docs, similarity)[1].groupBy("root").agg(F.min(F.struct("first", "content")).alias("k"))
+    kept = cut_lineage(kept.select(F.col("k.first").alias("_kept"), F.col("k.content").alias("_own")), "kept")
+    own = docs.filter(F.col("doc_id").isNotNull()).join(kept.select("_kept").distinct(), F.col("doc_id") == F.col("_kept"), "left_semi")
+    schema = T.StructType([*own.schema.fields, T.StructField("_content", T.BinaryType())])
+    own = own.mapInArrow(_with_content, schema).join(kept, (F.col("doc_id") == F.col("_kept")) & (F.col("_content") == F.col("_own")), "left_semi")
+    row = F.struct("text", *[n for n in named if n != "text"])
+    own = own.groupBy("doc_id", "_content").agg(F.min(row).alias("_row")).select(*[F.col("_row")[n].alias(n) for n in named])
     return own.unionByName(docs.filter(F.col("doc_id").isNull())).select(*named)

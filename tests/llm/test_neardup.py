@@ -87,6 +87,15 @@ def test_one_of_each_class_stays_with_its_columns(spark):
     assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted([*(repr(d) for d in want if want[d] == d), "None"])
 
 
+def test_rows_with_one_id_and_different_words_are_judged_each(spark):
+    a, b, d, e, f = (" ".join(f"{x}{i}" for i in range(80)) for x in "abdef")
+    rows = [(5, a), (5, b), (5, b), (5, b.upper()), (3, a + " more"), (7, b + " more"), (8, d), (8, d + " more"), (9, e), (9, f), (None, d)]
+    docs = spark.createDataFrame([(t, i, "x") for i, t in rows], "text string, doc_id long, source string")
+    got = sorted((repr(r.doc_id), r.text) for r in keep_one(docs).collect())
+    assert [x for x in got if x[0] != "8"] == [("3", a + " more"), ("5", b.upper()), ("9", e), ("9", f), ("None", d)]
+    assert len(got) == 6 and got == sorted((repr(r.doc_id), r.text) for r in keep_one(docs.repartition(5)).collect())
+
+
 def test_one_large_group_and_an_empty_table(spark):
     base = [f"w{i}" for i in range(120)]
     rows = [(i, " ".join(base[: 60 + i % 3] + [f"q{i}"] + base[60 + i % 3 :])) for i in range(150)]
