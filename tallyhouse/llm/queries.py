@@ -77,5 +77,25 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op4_near_dedup, op5_pii, op6_secret_scan, op7_html_extraction, op8_quality_rules, op9_quality_classifier, op10_lm_scoring)}
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.whitening import components_of
+
+    return components_of(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.urls import judge
+
+    judged = judge(_table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "weight", F.size("strict").cast("long").alias("n_strict"), F.size("soft").cast("long").alias("n_soft"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.runs import digest, find_runs, planted
+
+    docs = _table(spark, sf_dir, "documents")
+    return digest(find_runs(docs.select("doc_id", planted(docs["doc_id"], docs["text"]).alias("text"))))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_bpe, op3_decontamination, op4_near_dedup, op5_pii, op6_secret_scan, op7_html_extraction, op8_quality_rules, op9_quality_classifier, op10_lm_scoring, op11_embedding_whitening, op12_url_filter, op13_periodic_runs)}
 __all__ = ["ORACLE_SQL", "QUERIES"]

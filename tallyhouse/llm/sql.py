@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm.urls import RULES, THRESHOLD, VOCABULARY
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 OP1 = rf"""
@@ -48,4 +50,21 @@ f AS (SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_word
 SELECT *, failed & 3 <> 0 AS base_failed, failed & 127 = 0 AS kept FROM f
 """
 
-ORACLE_SQL = {"op1_substring_dedup": OP1, "op3_decontamination": OP3, "op8_quality_rules": OP8}
+_TERMS = ", ".join(f"{{'t': '{t}', 'w': {w}}}" for t, w in VOCABULARY.items())
+_RULES = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in RULES)
+
+OP12 = rf"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+s AS (SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM p),
+u AS (SELECT * FROM (VALUES {_RULES}) AS u(verdict, host, path)),
+f AS (SELECT r, u.host || u.path AS rule, u.verdict, row_number() OVER (PARTITION BY r ORDER BY length(u.host || u.path) DESC, length(u.host) DESC) AS k
+  FROM s JOIN u ON (s.host = u.host OR ends_with(s.host, '.' || u.host)) AND starts_with(s.path, u.path)),
+m AS (SELECT s.*, list_filter([{_TERMS}], lambda x: regexp_matches(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(^|[^a-z])' || x.t || '([^a-z]|$)')) AS terms FROM s),
+w AS (SELECT *, coalesce(list_sum(list_transform(terms, lambda x: x.w)), 0)::BIGINT AS weight FROM m)
+SELECT page_id, w.host, w.path, f.rule, coalesce(f.verdict, CASE WHEN weight >= {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict, weight,
+  len(list_filter(terms, lambda x: x.w >= {THRESHOLD}))::BIGINT AS n_strict, len(list_filter(terms, lambda x: x.w < {THRESHOLD}))::BIGINT AS n_soft
+FROM w LEFT JOIN f ON w.r = f.r AND f.k = 1
+"""
+
+ORACLE_SQL = {"op1_substring_dedup": OP1, "op3_decontamination": OP3, "op8_quality_rules": OP8, "op12_url_filter": OP12}
