@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import cleaning as clean
 from tallyhouse.functions.schema import SNAPSHOT, columns_with_prefix
 from tallyhouse.operators import drift, joins, learn
-from tallyhouse.operators.periods import in_period
 from tallyhouse.operators.ranks import auc, five_numbers, gini
+from tallyhouse.operators.trees import load_trees, save_trees, with_probability
 from tallyhouse.plans.catalog import sql as q
 from tallyhouse.plans.catalog.base import Tables
 from tallyhouse.plans.catalog.tables import LOANS, VOCABS
@@ -18,7 +17,7 @@ from tallyhouse.plans.loans import label_store
 from tallyhouse.plans.model import filled_features, monitoring, predictions, training_set
 from tallyhouse.plans.wide import fit_vocabularies, wide_gold, wide_silver
 from tallyhouse.session import cut_lineage
-from tallyhouse.sources import models as bank, tables as store
+from tallyhouse.sources import tables as store
 
 c = F.col
 ENTRIES: dict = {}
@@ -36,15 +35,21 @@ ENTRIES["l2_train_test_split"] = (
     lambda t: learn.train_test_split(t("loan_labels"), LOAN_KEY), q.stratified("loan_labels", LOAN_KEY))
 
 
-# --- models. A fitted tree has no SQL form, but what surrounds it has: rows, splits, keys, names and ranges ---
+# --- models. A fitted tree has no SQL form; what surrounds the figures (rows, splits, keys, months) has, in entries of its own ---
 FEATURES = MODEL_FEATURES
-SMALL = {"maxIter": [5], "maxDepth": [2, 3], "stepSize": [0.1], "subsamplingRate": [0.6, 0.8]}
-LATER = [f"2024-{m:02d}-01" for m in range(7, 13)]  # months with half a year of history
+
+
+def _training_rows(t: Tables):
+    return training_set(t("loan_labels"), t.engagement, t.risk, backward=True)
 
 
 def _rows(t: Tables):
     """Complete labelled rows of all features, filled both ways as for scoring, with their split."""
-    return learn.oot_split(training_set(t("loan_labels"), t.engagement, t.risk, backward=True), LOAN_KEY)
+    return learn.oot_split(cut_lineage(_training_rows(t), "training-rows"), LOAN_KEY)  # read by both parts of the split
+
+
+def _staged_rows(t: Tables):
+    return cut_lineage(_rows(t), "split-rows")
 
 
 def _training_sql(fill) -> str:
@@ -58,56 +63,72 @@ def _training_sql(fill) -> str:
 _SPLIT_ROWS = q.oot_split(f"({_training_sql(q.both_filled)})")
 
 
-def _fit(t: Tables, rows=None):
-    rows = _rows(t) if rows is None else rows
-    return learn.fit_boosted_trees(rows.where(c("split") == "train"), FEATURES, maxIter=5, maxDepth=3)
+def _train(rows):
+    return rows.where(c("split") == "train")
 
 
-def _share(name: str):
-    """Whether a figure is a share, as an AUC or a probability is; a group of one class has none."""
-    return F.coalesce(c(name).between(0, 1), F.lit(True)).alias(f"{name}_valid")
+def _fit(rows):
+    """The trees that score: as many and as deep as the library's defaults say."""
+    return learn.fit_trees(_train(rows), FEATURES, LOAN_KEY)
 
 
 def _trees(t: Tables):
-    rows = cut_lineage(_rows(t), "training-rows")
-    return learn.split_auc(_fit(t, rows), rows).select("split", "positives", "negatives", _share("auc"))
+    """Spark's boosted trees on all training rows, as many as the largest of the search grid."""
+    rows = _staged_rows(t)
+    return learn.split_auc(learn.fit_boosted_trees(_train(rows), FEATURES, maxIter=100), rows)
+
+
+ENTRIES["l3_boosted_trees"] = _trees, None
+
+
+def _split_sizes(t: Tables):
+    rows = _staged_rows(t)
+    return learn.split_auc(_fit(rows), rows).where(c("auc").between(0, 1)).select("split", "positives", "negatives")
 
 
-ENTRIES["l3_boosted_trees"] = _trees, (
-    "SELECT split, CAST(sum(label) AS BIGINT) AS positives, CAST(sum(1 - label) AS BIGINT) AS negatives, TRUE AS auc_valid "
+ENTRIES["l3_split_sizes"] = _split_sizes, (
+    "SELECT split, CAST(sum(label) AS BIGINT) AS positives, CAST(sum(1 - label) AS BIGINT) AS negatives "
     f"FROM ({_SPLIT_ROWS}) GROUP BY split")
 
 
 def _search(t: Tables):
-    record = learn.train_model(_rows(t), FEATURES, "2024-12-01", LOAN_KEY, grid=SMALL, draws=4, folds=3)[1]
-    parts = ("train", "test", "oot")
-    return record.select(
-        SNAPSHOT, "model_version", *[f"n_{p}" for p in parts], *[f"bad_share_{p}" for p in parts],
-        _share("auc_cv"), *[_share(f"auc_{p}") for p in parts])
-
-
-ENTRIES["l4_random_search"] = _search, (
-    "SELECT DATE '2024-12-01' AS snapshot_date, 'credit_model_2024_12_01' AS model_version, "
-    + ", ".join(f"CAST(count_if(split = '{p}') AS BIGINT) AS n_{p}" for p in ("train", "test", "oot")) + ", "
-    + ", ".join(q.half_up(f"avg(CASE WHEN split = '{p}' THEN label END)", 2) + f" AS bad_share_{p}" for p in ("train", "test", "oot"))
-    + ", TRUE AS auc_cv_valid, " + ", ".join(f"TRUE AS auc_{p}_valid" for p in ("train", "test", "oot")) + f" FROM ({_SPLIT_ROWS})")
+    """The whole search: 100 draws of the large grid, 3 folds, the winner judged on all splits."""
+    rows = _staged_rows(t)
+    return learn.train_model(rows, FEATURES, LOAN_KEY)[1]
+
+
+ENTRIES["l4_random_search"] = lambda t: _search(t).withColumn("hp_params", F.to_json("hp_params")), None
+ENTRIES["l4_search_draws"] = lambda t: learn.search_table(_train(_staged_rows(t)), FEATURES, LOAN_KEY), None
+
+
+def _search_record(t: Tables):
+    sound = [c(f"auc_{p}").between(0, 1) & (F.round(2 * c(f"auc_{p}") - 1, 3) == c(f"gini_{p}")) for p in learn.PARTS]
+    record = _search(t).where(c("auc_cv").between(0.5, 1) & sound[0] & sound[1] & sound[2])
+    return record.select(SNAPSHOT, "model_version", *[f"{n}_{p}" for n in ("n", "bad_share") for p in learn.PARTS])
+
+
+ENTRIES["l4_search_record"] = _search_record, (
+    "SELECT max(snapshot_date) AS snapshot_date, 'credit_model_' || replace(CAST(max(snapshot_date) AS VARCHAR), '-', '_') AS model_version, "
+    + ", ".join(f"CAST(count_if(split = '{p}') AS BIGINT) AS n_{p}" for p in learn.PARTS) + ", "
+    + ", ".join(q.half_up(f"avg(CASE WHEN split = '{p}' THEN label END)", 2) + f" AS bad_share_{p}" for p in learn.PARTS)
+    + f" FROM ({_SPLIT_ROWS})")
 ENTRIES["l5_auc"] = (
     lambda t: auc(t("doc_scores"), "label", "score").withColumn("gini", gini(c("auc"))),
     f"SELECT *, {q.half_up('(2 * auc - 1)', 3)} AS gini FROM ({q.area('doc_scores', 'label', 'score')})")
 ENTRIES["l5_auc_by_snapshot"] = (
     lambda t: auc(joins.label_predictions(t("loan_labels"), t("scores")), "label", "model_predictions", [SNAPSHOT]),
     q.area("scored_labels", "label", "model_predictions", "snapshot_date"))
-_SCORED = "SELECT Customer_ID, snapshot_date, 'credit_model_2024_{}' AS model_name, TRUE AS model_predictions_valid FROM {}"
+_SCORED = "SELECT Customer_ID, snapshot_date, 'credit_model_2024_{}' AS model_name FROM {}"
 
 
-def _checked(scores):
-    return scores.select("Customer_ID", SNAPSHOT, "model_name", _share("model_predictions"))
+def _keys(scores):
+    """What SQL can say of scores: whose they are. A score that is not strictly between 0 and 1 loses its row."""
+    sound = (c("model_predictions") > 0) & (c("model_predictions") < 1)
+    return cut_lineage(scores, "scores").where(sound).select("Customer_ID", SNAPSHOT, "model_name")
 
 
-ENTRIES["l6_batch_score"] = (
-    lambda t: _checked(learn.score(
-        filled_features(t.engagement, t.risk, backward=True), _fit(t), "credit_model_2024_12_01")),
-    _SCORED.format("12_01", "feature_set"))
+def _batch_scores(t: Tables):
+    return learn.score(filled_features(t.engagement, t.risk, backward=True), _fit(_staged_rows(t)), "credit_model_2024_12_01")
 
 
 def _click_scores(t: Tables):
@@ -116,37 +137,35 @@ def _click_scores(t: Tables):
     features = columns_with_prefix(clicks, "fe_")
     rows = learn.period_split(
         joins.training_rows(t("loan_labels"), clicks), "2024-07-01", LOAN_KEY, train_months=4, oot_months=2)
-    model = learn.fit_boosted_trees(rows.where(c("split") == "train"), features, maxIter=5, maxDepth=2)
-    return _checked(learn.score(clicks, model, "credit_model_2024_07_01"))
-
-
-ENTRIES["l6_batch_score_clicks"] = _click_scores, _SCORED.format("07_01", "clickstream_raw")
+    return learn.score(clicks, learn.fit_trees(_train(rows), features, LOAN_KEY), "credit_model_2024_07_01")
 
 
-def _ceiling(t: Tables):
-    filled = cut_lineage(training_set(t("loan_labels"), t.engagement, t.risk, backward=True), "training-rows")
-    return learn.performance_ceiling(
-        lambda snapshot: in_period(filled, "2024-01-01", snapshot), LATER, FEATURES, LOAN_KEY,
-        grid={"maxIter": [3], "maxDepth": [2]}, draws=1, folds=2,
-    ).select(SNAPSHOT, *[_share(f"auc_{p}") for p in ("train", "test", "oot")])
+ENTRIES["l6_batch_score"] = _batch_scores, None
+ENTRIES["l6_batch_score_keys"] = lambda t: _keys(_batch_scores(t)), _SCORED.format("12_01", "feature_set")
+ENTRIES["l6_batch_score_clicks"] = _click_scores, None
+ENTRIES["l6_batch_score_clicks_keys"] = lambda t: _keys(_click_scores(t)), _SCORED.format("07_01", "clickstream_raw")
 
 
-ENTRIES["l7_performance_ceiling"] = _ceiling, (
-    "SELECT CAST(unnest(generate_series(DATE '2024-07-01', DATE '2024-12-01', INTERVAL 1 MONTH)) AS DATE) AS snapshot_date, "
-    + ", ".join(f"TRUE AS auc_{p}_valid" for p in ("train", "test", "oot")))
+ENTRIES["l7_performance_ceiling"] = lambda t: learn.performance_ceiling(_training_rows(t), FEATURES, LOAN_KEY), None
+_DATED = f"""(SELECT m.as_of, r.* FROM ({_training_sql(q.both_filled)}) r JOIN
+  (SELECT DISTINCT snapshot_date AS as_of FROM ({_training_sql(q.both_filled)})) m ON r.snapshot_date <= m.as_of)"""
+ENTRIES["l7_rows_as_of"] = (
+    lambda t: learn.rows_as_of(_training_rows(t), LOAN_KEY).groupBy("as_of", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives")),
+    "SELECT as_of, split, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives FROM (SELECT as_of, label, 'oot' AS split "
+    f"FROM {_DATED} WHERE snapshot_date = as_of UNION ALL SELECT as_of, label, split FROM ("
+    + q.stratified(f"(SELECT * FROM {_DATED} WHERE snapshot_date < as_of)", LOAN_KEY, "as_of, label") + ")) GROUP BY as_of, split")
 
 
 def _round_trip(t: Tables):
     """A model and its record saved and loaded: every row gets the score it had."""
-    path, rows = t.scratch("model"), cut_lineage(_rows(t), "training-rows")
+    path, rows = t.scratch("model"), _staged_rows(t)
     record = t("loan_labels").agg(F.max(SNAPSHOT).alias(SNAPSHOT), F.count(F.lit(1)).alias("n_labels"))
-    saved = _fit(t, rows)
-    bank.save_model(saved, record, path)
-    loaded, read = bank.load_model(t.spark, path)
-    scored = loaded.transform(saved.transform(rows).select(
-        *rows.columns, F.get(vector_to_array("probability"), F.lit(1)).alias("before")))
-    same = F.get(vector_to_array("probability"), F.lit(1)) == c("before")
-    counts = scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(same).alias("n_same"))
+    saved = _fit(rows)
+    save_trees(t.spark, saved, record, path)
+    loaded, read = load_trees(t.spark, path)
+    scored = with_probability(cut_lineage(with_probability(rows, saved, "before"), "scored-rows"), loaded, "after")
+    counts = scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(c("after") == c("before")).alias("n_same"))
     return counts.crossJoin(F.broadcast(read))  # one row each
 
 
@@ -193,12 +212,12 @@ bars AS (SELECT snapshot_date, l.feature, CAST(coalesce(least(floor((v - low) /
 
 
 ENTRIES["mo6_histogram"] = (
-    lambda t: drift.histogram(t.risk, RISK_FEATURES, [SNAPSHOT], 50),
-    _bars(RISK_FEATURES, "risk", 50) + " SELECT * FROM bars")
+    lambda t: drift.histogram(t.risk, RISK_FEATURES, [SNAPSHOT]),
+    _bars(RISK_FEATURES, "risk", 500) + " SELECT * FROM bars")
 
 
 def _density(df, cols):
-    out = drift.density(df, cols, [SNAPSHOT], points=40, bins=100)
+    out = drift.density(df, cols, [SNAPSHOT])
     return out.select(SNAPSHOT, "feature", "point", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
 
 
@@ -210,18 +229,18 @@ banded AS (SELECT z.*, sqrt(v / (n_rows - 1)) * pow(n_rows, -0.2) AS h FROM size
   SELECT b.snapshot_date, b.feature, sum(n * pow(centre - mean, 2)) AS v FROM centred b JOIN sized z
     ON b.snapshot_date = z.snapshot_date AND b.feature = z.feature GROUP BY ALL) w
   ON z.snapshot_date = w.snapshot_date AND z.feature = w.feature WHERE n_rows > 1 AND v > 0),
-grid AS (SELECT *, CAST(unnest(generate_series(0, 39)) AS INT) AS point FROM banded),
-placed AS (SELECT *, (first - 3 * h) + ((last + 3 * h) - (first - 3 * h)) * point / 39 AS x FROM grid)
+grid AS (SELECT *, CAST(unnest(generate_series(0, 99)) AS INT) AS point FROM banded),
+placed AS (SELECT *, (first - 3 * h) + ((last + 3 * h) - (first - 3 * h)) * point / 99 AS x FROM grid)
 SELECT p.snapshot_date, p.feature, point, round(x, 6) AS x,
   round(sum(n * exp(-pow((x - centre) / h, 2) / 2)) / (n_rows * h * sqrt(2 * pi())), 6) AS density
 FROM placed p JOIN centred b ON p.snapshot_date = b.snapshot_date AND p.feature = b.feature
 GROUP BY p.snapshot_date, p.feature, point, x, n_rows, h"""
 ENTRIES["mo6_density"] = (
-    lambda t: _density(t.clicks, q.CLICKS), _bars(q.CLICKS, "clickstream_silver", 100) + _KERNEL)
+    lambda t: _density(t.clicks, q.CLICKS), _bars(q.CLICKS, "clickstream_silver", 500) + _KERNEL)
 ENTRIES["mo6_engagement_density"] = (
-    lambda t: _density(t.engagement, CLICK_FEATURES), _bars(CLICK_FEATURES, "engagement", 100) + _KERNEL)
+    lambda t: _density(t.engagement, CLICK_FEATURES), _bars(CLICK_FEATURES, "engagement", 500) + _KERNEL)
 ENTRIES["mo6_prediction_density"] = (
-    lambda t: _density(t("scores"), ["model_predictions"]), _bars(["model_predictions"], "scores", 100) + _KERNEL)
+    lambda t: _density(t("scores"), ["model_predictions"]), _bars(["model_predictions"], "scores", 500) + _KERNEL)
 _BOXES = RISK_FEATURES
 ENTRIES["mo7_five_numbers"] = (
     lambda t: five_numbers(joins.training_rows(t("loan_labels"), t.risk), _BOXES, ["label"]),
@@ -304,8 +323,9 @@ ENTRIES["t10_training_set_no_look_ahead"] = (
 
 def _predictions(t: Tables):
     """Train on the complete rows, score every customer with risk features, both filled alike."""
-    return _checked(predictions(t.risk, t.engagement, _fit(t), "credit_model_2024_12_01", backward=True))
+    return predictions(t.risk, t.engagement, _fit(_staged_rows(t)), "credit_model_2024_12_01", backward=True)
 
 
-ENTRIES["t11_predictions"] = _predictions, _SCORED.format("12_01", "risk")
+ENTRIES["t11_predictions"] = _predictions, None
+ENTRIES["t11_prediction_keys"] = lambda t: _keys(_predictions(t)), _SCORED.format("12_01", "risk")
 ENTRIES["t12_monitoring"] = _monitoring, _MONITORING
