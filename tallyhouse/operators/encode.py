@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.functions.cleaning import column_label
-from tallyhouse.operators.ranks import running_totals
+from tallyhouse.session import cut_lineage
 
 MOST_LABELS = 1_000
 
@@ -41,22 +41,47 @@ def vocabulary(df: DataFrame, col: str, most: int = MOST_LABELS) -> list[str]:
     return _bounded(category_counts(df, col).select(col), most)
 
 
+def vocabularies(df: DataFrame, cols: Sequence[str], array_cols: Sequence[str] = (), most: int = MOST_LABELS) -> dict[str, list[str]]:
+    """Vocabularies of several columns by one aggregate: categories by descending frequency and name, elements by name."""
+    labels = [f"array(struct('{c}' AS of, CAST(`{c}` AS STRING) AS label))" for c in cols]
+    labels += [f"transform(coalesce(`{c}`, array()), e -> struct('{c}' AS of, CAST(e AS STRING) AS label))" for c in array_cols]
+    found: dict[str, list] = {c: [] for c in (*cols, *array_cols)}
+    if not found:
+        return {}
+    counts = df.select(F.expr(f"explode(concat({', '.join(labels)}))").alias("pair")).select("pair.*").where("label IS NOT NULL").groupBy("of", "label").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.limit(len(found) * most + 1).collect()
+    for r in rows:
+        found[r["of"]].append(r)
+    if len(rows) > len(found) * most or max(map(len, found.values())) > most:
+        raise ValueError(f"more than {most} categories: encode this column another way")
+    return {c: [r["label"] for r in sorted(rs, key=lambda r: (0 if c in array_cols else -r["n"], r["label"]))] for c, rs in found.items()}
+
+
 def element_vocabulary(df: DataFrame, col: str, most: int = MOST_LABELS) -> list[str]:
     """Distinct elements of an array column by name."""
     return _bounded(elements(df, col).orderBy("element"), most)
 
 
-def label_index(df: DataFrame, col: str) -> DataFrame:
+CELL_LABELS = 1 << 20  # categories that one task ranks, about
+
+
+def label_index(df: DataFrame, col: str, cell_labels: int = CELL_LABELS) -> DataFrame:
     """Every category of a column with its index by descending frequency, ties by name: ``col``, ``label_index``.
 
-    The index is the number of more frequent categories plus the place among those equally frequent, so no
-    task ranks them all and the driver holds none.
+    Categories are dealt into ranges of (frequency, name) of about ``cell_labels`` each and written with their range; the index
+    is the size of the ranges before plus the place within the range. So no task ranks all categories of one frequency, and
+    the driver holds none. It runs as this is called.
     """
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, "n", {"labels": F.lit(1)})
-    above = ranked.select("n", (F.col("all_labels") - F.col("before_labels") - F.col("labels")).alias("above"))
-    among = F.row_number().over(Window.partitionBy("n").orderBy(col)) - 1
-    return counts.withColumn("among", among).join(above, "n").select(col, (F.col("above") + F.col("among")).cast("int").alias("label_index"))
+    counts = cut_lineage(counts, "label-counts")
+    cells = max(1, -(-counts.count() // cell_labels))
+    dealt = counts.repartitionByRange(cells, F.desc("n"), F.col(col)) if cells > 1 else counts.coalesce(1)
+    dealt = cut_lineage(dealt.withColumn("cell", F.spark_partition_id()), "label-cells")  # the ranges are drawn once
+    sizes = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))  # a row a range
+    before = F.coalesce(F.sum("size").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("cell").orderBy(F.desc("n"), col)) - 1
+    return dealt.withColumn("place", place).join(sizes.withColumn("before", before), "cell").select(
+        col, (F.col("before") + F.col("place")).cast("int").alias("label_index"))
 
 
 def index_strings(df: DataFrame, col: str, name: str, fitted: DataFrame | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DateType, DecimalType, FractionalType
 
 from tallyhouse.functions.schema import numeric_columns
-from tallyhouse.operators.ranks import running_totals, unpivot
+from tallyhouse.operators.ranks import MOST_TARGETS, lower_medians
 
 FORWARD, BACKWARD, BOTH, LATEST, EARLIEST = "forward", "backward", "both", "latest", "earliest"
 
@@ -30,23 +30,17 @@ def _name(c: str) -> str:
 def _along(kind: str, low: str, high: str, by: Sequence[str], order: str) -> str:
     """SQL of the value seen from a snapshot of a key's history; ``low`` and ``high`` bound it among peers.
 
-    Looking ahead is a running aggregate over the descending order, so every frame only grows.
+    Looking ahead runs over the descending order, so every frame only grows.
     """
     key, at = ", ".join(map(_name, by)), _name(order)
-    upward, downward = f"PARTITION BY {key} ORDER BY {at}", f"PARTITION BY {key} ORDER BY {at} DESC"
-
-    def seen(pick: str, value: str, window: str) -> str:
-        dated = f"CASE WHEN {value} IS NOT NULL THEN struct({at} AS at, {value} AS value) END"
-        return f"({pick}({dated}) OVER ({window})).value"
-
+    upward, downward = (f"PARTITION BY {key} ORDER BY {at} {way} ROWS UNBOUNDED PRECEDING" for way in ("ASC", "DESC"))
     forms = {
-        FORWARD: seen("max", high, upward),
-        BACKWARD: seen("min", low, downward),
-        BOTH: f"coalesce({seen('max', high, upward)}, {seen('min', low, downward)})",
-        LATEST: seen("max", high, downward),
-        EARLIEST: seen("min", low, f"PARTITION BY {key}"),
+        FORWARD: f"last_value({high}) IGNORE NULLS OVER ({upward})",
+        BACKWARD: f"last_value({low}) IGNORE NULLS OVER ({downward})",
+        LATEST: f"first_value({high}) IGNORE NULLS OVER ({downward})",
+        EARLIEST: f"first_value({low}) IGNORE NULLS OVER (PARTITION BY {key} ORDER BY {at} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)",
     }
-    return forms[kind]
+    return f"coalesce({forms[FORWARD]}, {forms[BACKWARD]})" if kind == BOTH else forms[kind]
 
 
 def fill_history(df: DataFrame, fills: Mapping[str, str], by: Sequence[str], order: str) -> DataFrame:
@@ -76,7 +70,8 @@ def fill_history(df: DataFrame, fills: Mapping[str, str], by: Sequence[str], ord
 
 def _history(rows: DataFrame, fills: Mapping[str, str], by: Sequence[str], order: str) -> DataFrame:
     """Filled history of the given rows, one row per (key, snapshot), as ``known_<key>`` and a struct."""
-    bounds = [f(c).alias(f"{side}_{c}") for c in fills for side, f in (("low", F.min), ("high", F.max))]
+    sides = {FORWARD: "high", LATEST: "high", BACKWARD: "low", EARLIEST: "low", BOTH: "low high"}
+    bounds = [f(_name(c)).alias(f"{side}_{c}") for c, kind in fills.items() for side, f in (("low", F.min), ("high", F.max)) if side in sides[kind]]
     seen = ", ".join(
         f"{_along(kind, _name('low_' + c), _name('high_' + c), by, order)} AS {_name(c)}"
         for c, kind in fills.items())
@@ -89,6 +84,32 @@ def ffill(df: DataFrame, cols: Sequence[str], by: Sequence[str], order: str) ->
     return fill_history(df, {c: FORWARD for c in cols}, by, order)
 
 
+def last_known(rows: DataFrame, cols: Sequence[str], by: Sequence[str], order: str, state: DataFrame | None = None) -> DataFrame:
+    """State of a forward fill: per key the last known value of each column, as a struct of its snapshot and the value.
+
+    ``state`` is the one before ``rows`` came; together they give the one after, by one aggregate that is combined map-side,
+    so that neither a long history nor a hot key is read or held again.
+    """
+    at = F.col(_name(order))
+    seen = rows.select(*map(_name, by), *[
+        F.when(F.col(_name(c)).isNotNull(), F.struct(at.alias("at"), F.col(_name(c)).alias("value"))).alias(c) for c in cols])
+    every = seen if state is None else state.select(*seen.columns).unionByName(seen)
+    return every.groupBy(*map(_name, by)).agg(*[F.max(_name(c)).alias(c) for c in cols])
+
+
+def ffill_from(state: DataFrame, rows: DataFrame, cols: Sequence[str], by: Sequence[str], order: str) -> DataFrame:
+    """``ffill`` of new snapshots that reads them and the state before them only, not the history.
+
+    The rows are later than what the state has seen. A key without a state starts with its own rows. The join of rows with their
+    key's state is a left one without a hint, which adaptive execution splits where a key is hot.
+    """
+    own = ffill(rows, cols, by, order)
+    before = state.select(*[F.col(_name(k)).alias(f"known_{k}") for k in by], F.struct(*map(_name, cols)).alias("known"))
+    same = " AND ".join(f"{_name(k)} <=> {_name('known_' + k)}" for k in by)
+    filled = [f"coalesce({_name(c)}, known.{_name(c)}.value) AS {_name(c)}" if c in cols else _name(c) for c in rows.columns]
+    return own.join(before, F.expr(same), "left").selectExpr(*filled)
+
+
 def ffill_bfill(
     df: DataFrame, cols: Sequence[str], by: Sequence[str], order: str, backward: bool = True,
 ) -> DataFrame:
@@ -115,15 +136,20 @@ def latest_per_key(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return newest.select(*[F.col(c) if c in by else F.col("newest")[c].alias(c) for c in df.columns])
 
 
-def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Exact medians (the lower one of two middle values) named ``median_<column>``, one row per group."""
-    ranked = running_totals(
-        unpivot(df, cols, by).where(F.col("value").isNotNull()), "value", {"n": F.lit(1)}, [*by, "feature"])
-    middle = F.ceil(F.col("all_n") / 2)
-    at_middle = (F.col("before_n") < middle) & (middle <= F.col("before_n") + F.col("n"))
-    return ranked.where(at_middle).groupBy(*by).agg(*[
+def _medians(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> tuple[DataFrame, int]:
+    """Medians, one row per group, and a bound on their number."""
+    found = lower_medians(df, cols, by)
+    return found.values.groupBy(*by).agg(*[
         F.max(F.when(F.col("feature") == c, F.col("value"))).cast(df.schema[c].dataType).alias(f"median_{c}")
-        for c in cols])
+        for c in cols]), found.targets
+
+
+def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Exact medians (the lower one of two middle values) named ``median_<column>``, one row per group.
+
+    ``df`` is read as this is called, and once more as the result is; stage it if it is costly.
+    """
+    return _medians(df, cols, by)[0]
 
 
 def approximate_medians(
@@ -138,13 +164,16 @@ def approximate_medians(
 
 
 def fill_median(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Gaps take the exact median of the column, over all rows or within ``by``, in the column's own type."""
-    middle = medians(df, cols, by)
+    """Gaps take the exact median of the column, over all rows or within ``by``, in the column's own type.
+
+    ``df`` is read three times, twice of them as this is called; stage it if it is costly.
+    """
+    middle, groups = _medians(df, cols, by)
     if by:
         middle = middle.select(
             *[F.col(k).alias(f"at_{k}") for k in by], *[f"median_{c}" for c in cols])
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"at_{k}")) for k in by])
-        joined = df.join(middle, same, "left")
+        joined = df.join(F.broadcast(middle) if groups <= MOST_TARGETS else middle, same, "left")
     else:
         joined = df.crossJoin(F.broadcast(middle))  # exactly one row
     return joined.select(*[

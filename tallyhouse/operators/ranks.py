@@ -10,9 +10,12 @@ however many rows there are, a window holds a few million rows at most, and more
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyhouse.session import cut_lineage
+
 OCTAVE = 1_024     # first-level cells between a value and its double
 INNER = 1 << 22    # second-level cells in one of those
 
@@ -118,6 +121,64 @@ def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFram
         list(keep), list(cols), "feature", "value")
 
 
+FEW = 1 << 22  # rows around a rank that are ordered by their distinct values
+MOST_TARGETS = 200_000  # groups times columns whose bounds are sent to every task; more are joined by a shuffle
+
+
+class Ranked(NamedTuple):
+    values: DataFrame  # by, ``feature`` and ``value``
+    targets: int  # rows of that
+
+
+def lower_medians(
+    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), few: int = FEW, inner: int = INNER, most_targets: int = MOST_TARGETS,
+) -> Ranked:
+    """The lower median of each column per group, exactly, by selection: rows are counted, never ordered.
+
+    The first pass counts the rows of all columns by the leading bits of their values, combined map-side; what leaves a task
+    is cells, not rows. Only the cell that holds the rank is looked into, again by counting, until it has one value or ``few``
+    rows at most, whose distinct values are ordered. Mostly that takes one pass more, and none where a cell is one value, as
+    with small whole numbers. The passes run as this is called; stage ``df`` if it is costly. Null is no value, NaN the largest.
+    """
+    group = _group_key(by)
+    value = F.col("value")
+    long = unpivot(df, cols, by).where(value.isNotNull()).select(group.alias("group"), "feature", "value")
+    cells = long.groupBy("group", "feature", _outer_cell(value, OCTAVE).alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    here = Window.partitionBy("group", "feature")
+    below = F.coalesce(F.sum("n").over(here.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rank = F.ceil(F.sum("n").over(here) / 2)
+    held = cut_lineage(cells, "median-cells").withColumns({"below": below, "rank": rank}).where(
+        (F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("n"))).select(
+        "group", "feature", "low", "high", "n", (F.col("rank") - F.col("below")).alias("rank"))
+    target = cut_lineage(held, "median-targets")
+    is_open = F.col("low") < F.col("high")
+
+    def found(name: str, targets: DataFrame) -> DataFrame:
+        return targets.select(*[F.col("group")[b].alias(b) for b in by], "feature", F.col(name).alias("value"))
+
+    size = target.agg(F.count(F.lit(1)).alias("all"), F.count_if(is_open).alias("open"), F.max(F.when(is_open, F.col("n"))).alias("n")).first()
+    known, left, most = found("low", target.where(~is_open)), size["open"], size["n"]
+    while left:
+        bounds = target.where(is_open).drop("n")
+        bounds = F.broadcast(bounds) if left <= most_targets else bounds
+        near = long.join(bounds, ["group", "feature"]).where(value.between(F.col("low"), F.col("high")))
+        last = most <= few
+        share = (value - F.col("low")) / (F.col("high") - F.col("low"))
+        at = value if last else F.floor(share * inner)
+        counted = near.groupBy("group", "feature", "rank", at.alias("cell")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        picked = counted.withColumn("below", below).where(
+            (F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("n"))).select(
+            "group", "feature", "low", "high", "n", (F.col("rank") - F.col("below")).alias("rank"))
+        if last:
+            return Ranked(known.unionByName(found("low", picked)), size["all"])
+        target = cut_lineage(picked, "median-targets")
+        again = target.agg(F.count_if(is_open).alias("open"), F.max(F.when(is_open, F.col("n"))).alias("n")).first()
+        known, left, most = known.unionByName(found("low", target.where(~is_open))), again["open"], again["n"]
+    return Ranked(known, size["all"])
+
+
 def five_numbers(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Minimum, quartiles and maximum of each column per group: the table behind a box plot."""
     names = ["minimum", "lower_quartile", "median", "upper_quartile", "maximum"]

@@ -212,7 +212,7 @@ bars AS (SELECT snapshot_date, l.feature, CAST(coalesce(least(floor((v - low) /
 
 
 ENTRIES["mo6_histogram"] = (
-    lambda t: drift.histogram(t.risk, RISK_FEATURES, [SNAPSHOT]),
+    lambda t: drift.histogram(cut_lineage(t.risk, "risk"), RISK_FEATURES, [SNAPSHOT]),
     _bars(RISK_FEATURES, "risk", 500) + " SELECT * FROM bars")
 
 

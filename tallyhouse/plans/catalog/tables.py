@@ -171,13 +171,30 @@ def _financials_v1(t: Tables):
     return t("financials_raw").withColumns(made)
 
 
+def _staged_v1(t: Tables, *cols: str):
+    rows = _financials_v1(t)
+    return cut_lineage(rows.select(*cols) if cols else rows, "financials")  # fills and medians read it again
+
+
 _W1 = ["Type_of_Loan", "Credit_Mix", "Payment_Behaviour", *q.V1_NUMBERS]
 ENTRIES["w1_forward_fill"] = (
-    lambda t: impute.ffill(_financials_v1(t), _W1, [CUSTOMER], SNAPSHOT),
+    lambda t: impute.ffill(_staged_v1(t), _W1, [CUSTOMER], SNAPSHOT),
     f"SELECT {q.named({n: q.ffilled(n) for n in _W1} | {'Payment_of_Min_Amount': 'Payment_of_Min_Amount'})} "
     "FROM financials_v1")
+
+
+def _fill_by_month(t: Tables):
+    """The last snapshot filled from the state that the ones before it leave, next to their own fill."""
+    rows = _staged_v1(t)
+    last = rows.agg(F.max(SNAPSHOT)).first()[0]
+    early, late = rows.where(c(SNAPSHOT) < F.lit(last)), rows.where(c(SNAPSHOT) == F.lit(last))
+    state = cut_lineage(impute.last_known(early, _W1, [CUSTOMER], SNAPSHOT), "fill-state")
+    return impute.ffill(early, _W1, [CUSTOMER], SNAPSHOT).unionByName(impute.ffill_from(state, late, _W1, [CUSTOMER], SNAPSHOT))
+
+
+ENTRIES["w1_forward_fill_by_month"] = _fill_by_month, ENTRIES["w1_forward_fill"][1]
 ENTRIES["w2_forward_backward_fill"] = (
-    lambda t: impute.ffill_bfill(t.risk, RISK_FEATURES, [CUSTOMER], SNAPSHOT),
+    lambda t: impute.ffill_bfill(cut_lineage(t.risk, "risk"), RISK_FEATURES, [CUSTOMER], SNAPSHOT),
     f"SELECT {q.named({n: q.both_filled(n) for n in q.RISK_COLUMNS})} FROM risk")
 ENTRIES["w3_latest_name"] = (
     lambda t: impute.fill_latest(t("attributes_raw").select(*KEY, "Name"), "Name", [CUSTOMER], SNAPSHOT),
@@ -195,11 +212,11 @@ ENTRIES["w5_latest_per_key"] = (
     "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY Customer_ID ORDER BY snapshot_date DESC) AS rn "
     "FROM attributes_raw) WHERE rn = 1")
 ENTRIES["i1_median_fill"] = (
-    lambda t: impute.fill_median(_financials_v1(t).select(*KEY, *q.V1_NUMBERS), q.V1_NUMBERS),
+    lambda t: impute.fill_median(_staged_v1(t, *KEY, *q.V1_NUMBERS), q.V1_NUMBERS),
     f"SELECT {q.named({n: f'coalesce({n}, median_{n})' for n in q.V1_NUMBERS})} FROM financials_v1 CROSS JOIN (SELECT "
     + ", ".join(f"quantile_disc({n}, 0.5) AS median_{n}" for n in q.V1_NUMBERS) + " FROM financials_v1)")
 ENTRIES["i1_median_fill_by_snapshot"] = (
-    lambda t: impute.fill_median(_financials_v1(t).select(*KEY, *q.V1_NUMBERS), q.V1_NUMBERS, [SNAPSHOT]),
+    lambda t: impute.fill_median(_staged_v1(t, *KEY, *q.V1_NUMBERS), q.V1_NUMBERS, [SNAPSHOT]),
     "SELECT f.Customer_ID, f.snapshot_date, " + ", ".join(f"coalesce({n}, median_{n}) AS {n}" for n in q.V1_NUMBERS)
     + " FROM financials_v1 f JOIN (SELECT snapshot_date, "
     + ", ".join(f"quantile_disc({n}, 0.5) AS median_{n}" for n in q.V1_NUMBERS)

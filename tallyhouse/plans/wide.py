@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyhouse.functions import cleaning as clean
 from tallyhouse.functions.ratios import wide_features
 from tallyhouse.functions.schema import CLICK_COLUMNS, CUSTOMER, SNAPSHOT, WIDE_TYPES, enforce
-from tallyhouse.operators.encode import element_vocabulary, encode_categories, vocabulary
+from tallyhouse.operators.encode import encode_categories, vocabularies
 from tallyhouse.operators.impute import FORWARD, LATEST, fill_const, fill_history, fill_median
 from tallyhouse.operators.joins import join_sources
 from tallyhouse.session import cut_lineage
@@ -74,8 +74,9 @@ def fit_vocabularies(silver: DataFrame) -> tuple[dict[str, list[str]], dict[str,
 
     The placeholder comes first, so it is the category without a column of its own.
     """
-    found = {n: vocabulary(silver, n) for n in CATEGORIES}
-    lists = {"loan_array": element_vocabulary(silver, "loan_array")} if "loan_array" in silver.columns else {}
+    arrays = [n for n in ("loan_array",) if n in silver.columns]
+    found = vocabularies(silver, CATEGORIES, arrays)
+    lists = {n: found.pop(n) for n in arrays}
     return {n: [clean.UNKNOWN, *[v for v in vs if v != clean.UNKNOWN]] for n, vs in found.items()}, lists
 
 

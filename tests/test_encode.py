@@ -45,3 +45,24 @@ def test_scale_uses_the_training_rows(spark):
     other = spark.createDataFrame([(4.0, 7.0)], "x double, same double")
     got = encode.scale(other, encode.scaler(train, ["x", "same"]), ["x", "same"]).first()
     assert got["x"] == pytest.approx((4 - 3) / np.std([1, 2, 6])) and got["same"] == 2.0
+
+
+def test_no_task_ranks_all_categories_of_one_count(spark):
+    """A million categories that occur once, and some that occur more often, in ranges of 50,000."""
+    df = spark.range(1_000_000).selectExpr("concat('c', id) AS v").unionByName(spark.range(40).selectExpr("concat('c', id % 10) AS v"))
+    index = encode.label_index(df, "v", cell_labels=50_000)
+    rows = index.orderBy("label_index").collect()
+    names = [r["v"] for r in rows]
+    often = sorted(f"c{i}" for i in range(10))
+    assert names[:10] == often and names[10:] == sorted(f"c{i}" for i in range(10, 1_000_000))
+    assert [r["label_index"] for r in rows] == list(range(1_000_000))
+    sizes = index.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert max(r["count"] for r in sizes) < 400_000
+
+
+def test_vocabularies_of_several_columns_at_once(spark):
+    df = spark.createDataFrame([("x", 1, ["b", "a"]), ("y", 1, None), ("y", None, ["b", None]), (None, 2, [])], "s string, n int, l array<string>")
+    assert encode.vocabularies(df, ["s", "n"], ["l"]) == {"s": ["y", "x"], "n": ["1", "2"], "l": ["a", "b"]}
+    assert encode.vocabularies(df, ["s"]) == {"s": encode.vocabulary(df, "s")} and encode.vocabularies(df, []) == {}
+    with pytest.raises(ValueError, match="more than 1"):
+        encode.vocabularies(df, ["s"], ["l"], most=1)

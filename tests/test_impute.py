@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import impute as im
+from tallyhouse.operators.ranks import lower_medians
 
 SCHEMA = "k string, t date, a int, s string"
 
@@ -137,3 +138,47 @@ def test_medians_are_exact_with_many_distinct_values(spark):
     want = {g: sorted(v)[(len(v) + 1) // 2 - 1] for g, v in values.items()}
     assert {r["g"]: r["median_x"] for r in im.medians(df, ["x"], ["g"]).collect()} == want
     assert {r["g"]: r["median_x"] for r in im.approximate_medians(df, ["x"], ["g"]).collect()} != want
+
+
+@pytest.mark.parametrize("few, inner, targets", [(1 << 22, 1 << 22, 200_000), (5, 4, 200_000), (1, 2, 0)])
+def test_selection_equals_sorting_at_any_depth(spark, few, inner, targets):
+    """Rounds of counting that narrow to a few rows, with bounds sent to the tasks or joined, in odd groups of odd values."""
+    rng = random.Random(9)
+    inf = float("inf")
+    odd = [0.0, -0.0, inf, -inf, 5e-324, -1e308, 1e308, float("nan"), None]
+    rows = [(rng.choice(["a", "b", None]), rng.choice([rng.gauss(0, 1), rng.gauss(0, 1e-9) + 1, rng.choice(odd)]), rng.choice([None, rng.randint(-10**12, 10**12)])) for _ in range(900)]
+    rows += [("one", 3.5, None), ("none", None, None)]
+    df = spark.createDataFrame(rows, "g string, x double, n long").repartition(5)
+    found = lower_medians(df, ["x", "n"], ["g"], few, inner, targets)
+    order = lambda v: (v != v, v)
+    want = {}
+    for g in {r[0] for r in rows}:
+        for i, name in ((1, "x"), (2, "n")):
+            known = sorted((float(r[i]) for r in rows if r[0] == g and r[i] is not None), key=order)
+            if known:
+                want[g, name] = known[(len(known) + 1) // 2 - 1]
+    got = {(r.g, r.feature): r.value for r in found.values.collect()}
+    assert got == want and found.targets == len(want)
+    assert lower_medians(df.limit(0), ["x"], ["g"]).values.collect() == []
+
+
+def test_a_hot_group_leaves_the_tasks_as_cells(spark):
+    """Rows of one group are counted where they are: what is shuffled is bounded by the cells."""
+    df = spark.range(200_000).selectExpr("1 AS g", "CAST(id % 500 AS double) AS x").repartition(8)
+    assert [tuple(r) for r in im.medians(df, ["x"], ["g"]).collect()] == [(1, 249.0)]
+    filled = im.fill_median(df.withColumn("x", F.when(F.col("x") != 7, F.col("x"))), ["x"], ["g"])
+    assert "SortMergeJoin" not in filled._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fill_from_the_state_equals_the_full_fill(spark):
+    rows = [r for r in sample(4, 30) if r[0] is not None] + [(None, day(1), 5, None), (None, day(11), None, "z")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    full = im.ffill(df, ["a", "s"], ["k"], "t").collect()
+    state, got = None, []
+    for m in range(12):
+        month = df.where(F.col("t") == F.lit(day(m)))
+        got += (im.ffill(month, ["a", "s"], ["k"], "t") if state is None else im.ffill_from(state, month, ["a", "s"], ["k"], "t")).collect()
+        state = spark.createDataFrame(im.last_known(month, ["a", "s"], ["k"], "t", state).collect(), "k string, a struct<at: date, value: int>, s struct<at: date, value: string>")
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, full), key=key)
+    newest = {r.k: r.a and r.a.value for r in state.collect()}
+    assert newest == {k: max(((u, b) for q, u, b, _ in rows if q == k and b is not None), default=(0, None))[1] for k in {r[0] for r in rows}}
