@@ -15,7 +15,7 @@ from tallyhouse.operators.learn import oot_split, split_stats
 from tallyhouse.operators.ranks import deciles
 from tallyhouse.plans.catalog import sql as q
 from tallyhouse.plans.catalog.base import Tables
-from tallyhouse.plans.features import MODEL_FEATURES, RISK_FEATURES
+from tallyhouse.plans.features import MODEL_FEATURES, RISK_FEATURES, clickstream_silver, engagement
 from tallyhouse.plans.loans import label_store
 from tallyhouse.plans.wide import CATEGORIES, cleaned, fit_vocabularies
 from tallyhouse.session import cut_lineage
@@ -79,6 +79,19 @@ ENTRIES["s7_rerun_one_month"] = _rerun_one_month, (
     "SELECT * REPLACE (CASE WHEN snapshot_date = DATE '1998-03-01' THEN -1 ELSE dpd END AS dpd) FROM loan_silver")
 
 
+def _bucketed_labels(t: Tables):
+    """Labels and features in buckets of the key, joined bucket by bucket."""
+    name = t.scratch("bucketed").rsplit("-", 1)[1]
+    labels = store.write_bucketed(t("loan_labels"), f"labels_{name}", KEY, 8, t.scratch("labels"))
+    features = store.write_bucketed(t.risk, f"risk_{name}", KEY, 8, t.scratch("risk"))
+    return labels.join(features, [CUSTOMER, SNAPSHOT])
+
+
+ENTRIES["s7_bucketed_join"] = _bucketed_labels, (
+    "SELECT l.*, " + ", ".join(q.RISK_COLUMNS) + " FROM loan_labels l JOIN risk r ON l.Customer_ID = r.Customer_ID "
+    "AND l.snapshot_date = r.snapshot_date")
+
+
 # --- periods ---
 ENTRIES["d1_month_spine"] = (
     lambda t: periods.snapshot_spine(t("loan_daily")),
@@ -163,6 +176,10 @@ ENTRIES["s12_profile"] = (
     "SELECT count(*) AS n_rows, " + ", ".join(
         f"{f}({n}) AS {f}_{n}" for n in (SNAPSHOT, "installment_num", "due_amt") for f in ("min", "max"))
     + " FROM loan_daily")
+ENTRIES["s12_profile_of_a_write"] = (
+    lambda t: store.write_snapshots(
+        t("loan_daily"), t.scratch("loan_daily"), observed=[SNAPSHOT, "installment_num", "due_amt"]),
+    ENTRIES["s12_profile"][1])
 
 
 # --- fills and medians ---
@@ -252,6 +269,15 @@ ENTRIES["j5_label_predictions"] = (
 
 # --- aggregates ---
 ENTRIES["g1_lagged_pivot"] = lambda t: t.engagement, f"SELECT {q.KEY}, {', '.join(q.CLICK_FEATURES)} FROM engagement"
+
+
+def _engagement_of_a_month(t: Tables):
+    """One month built anew from the six partitions before it."""
+    return engagement(clickstream_silver(store.scan_table(t.spark, _stored(t, "clickstream_raw"))), "2024-05-01", "2024-05-01")
+
+
+ENTRIES["g1_lagged_pivot_of_a_month"] = _engagement_of_a_month, (
+    f"SELECT {q.KEY}, {', '.join(q.CLICK_FEATURES)} FROM engagement WHERE snapshot_date = DATE '2024-05-01'")
 ENTRIES["g2_bad_rate_curve"] = (
     lambda t: bad_rate_curve(t.loan_silver, 30),
     "SELECT mob, count(*) AS n, avg(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS bad_rate FROM loan_silver GROUP BY mob ORDER BY mob")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tallyhouse.functions.schema import SNAPSHOT
@@ -57,20 +57,44 @@ def lagged_scan(spark: SparkSession, path: str, as_of: str, months: int = 6) ->
 
 
 def write_snapshots(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (SNAPSHOT,), key: Sequence[str] = (),
-) -> None:
+    df: DataFrame, path: str, partition_by: Sequence[str] = (SNAPSHOT,), key: Sequence[str] = (), observed: Sequence[str] = (),
+) -> DataFrame | None:
     """Write a table by snapshot, replacing the snapshots that ``df`` brings.
 
     Rows are rebalanced on the partition columns: small snapshots end in one file, a large one is split
     over as many tasks as its size asks for. With ``key``, a repeated key is an error.
+    With ``observed``, the ``profile`` of those columns comes back, taken while the rows are written, without a job of its own.
     """
     if key:
         assert_unique(df, key)
+    out = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    # after the exchange, in the tasks that write: each of those counts once, also where an earlier one is run again
+    seen = Observation() if observed else None
+    if seen is not None:
+        out = out.observe(seen, *_profile_columns(observed))
     (
-        df.hint("rebalance", *[F.col(c) for c in partition_by])
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(path)
     )
+    if seen is None:
+        return None
+    schema = df.limit(0).agg(*_profile_columns(observed)).schema
+    return df.sparkSession.createDataFrame([tuple(seen.get[f.name] for f in schema)], schema)
+
+
+def write_bucketed(df: DataFrame, name: str, by: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Write a table bucketed and sorted by columns under a name of the catalog, and read it back.
+
+    Tables with equal buckets of the same columns are joined on those, and grouped by them, without an exchange. It replaces
+    the whole table: a table that is rerun by month is partitioned by snapshot instead (``write_snapshots``). Rows of one key
+    fill one bucket, so ``by`` is a unique key, as customer and snapshot, and no part of it. Rows are dealt to their buckets
+    before the write, so that a bucket is one file.
+    """
+    if buckets < 1:
+        raise ValueError("a table needs a bucket at least")
+    writer = df.repartition(buckets, *by).write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by)
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
@@ -83,11 +107,14 @@ def write_metrics(df: DataFrame, path: str) -> None:
     write_snapshots(df, path, ("model_name", SNAPSHOT))
 
 
+def _profile_columns(cols: Sequence[str]) -> list[Column]:
+    ranges = [f(c).alias(f"{name}_{c}") for c in cols for name, f in (("min", F.min), ("max", F.max))]
+    return [F.count(F.lit(1)).alias("n_rows"), *ranges]
+
+
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Row count and the range of some columns, in one pass on demand."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[f(c).alias(f"{name}_{c}") for c in cols for name, f in (("min", F.min), ("max", F.max))])
+    return df.agg(*_profile_columns(cols))
 
 
 def is_empty(df: DataFrame) -> bool:
