@@ -3,7 +3,7 @@
 Encoding one word left to right keeps, for every prefix, the last token of that prefix's encoding. That token is the one whose
 border with the token before it no merge would cross (`Merges.stable`), so no merge list is replayed over the whole word. A
 token is emitted once every prefix that a later token could still start from has it in its encoding. Later tokens reach back
-`Merges.lookahead` symbols at most, the length of the longest token that a merge makes, so only those prefixes are looked at;
+`Transducer.lookahead` symbols at most, the length of the longest token that a merge makes, so only those prefixes are looked at;
 what is kept is their encodings back to where they agree, and for usual merge lists that is a few tokens.
 
 The vocabulary file is a parameter. It has to be a plain BPE without unknown, continuation or byte-fallback tokens.
@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from unicodedata import is_normalized, normalize
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 KEPT_WORDS = 200_000  # encoded words that a task remembers, twice
 FLUSH = 64  # symbols between two looks for stable tokens
+STRETCH = 1 << 16  # characters of a text worked on at a time
 # Letters and digits of this machine's regex module that the tokenizers library's Unicode tables do not have yet.
 NEWER = """
 0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959
@@ -36,7 +38,7 @@ NEWER = """
 3D000-3FC3F
 """
 _NEWER_SET = "[" + "".join("-".join(f"\\U{int(x, 16):08X}" for x in r.split("-")) for r in NEWER.split()) + "]"
-_OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+_OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, text_sha256 string"
 
 
 def byte_alphabet() -> list[str]:
@@ -46,6 +48,11 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+ALPHABET = byte_alphabet()
+_UTF8 = codecs.getincrementaldecoder("utf-8")
+_BYTE_OF = str.maketrans({c: chr(b) for b, c in enumerate(ALPHABET)})
+
+
 class Merges:
     """A merge list as tokens with their ranks."""
 
@@ -86,62 +93,104 @@ class Merges:
 
 
 class Transducer:
-    """Encodes words of symbols; `end` is what the last symbol of a word gets appended."""
+    """Encodes words of symbols; `end` is what the last symbol of a word gets appended.
+
+    The tokens that end at a symbol come from one Aho-Corasick automaton over all tokens that are encoded as themselves, longest
+    first; the first one whose border to the token before it is stable is the last token of the prefix that ends there.
+    """
+
+    MARK = "\0"  # stands for `end` in the automaton
 
     def __init__(self, merges: Merges, end: str = ""):
         self.merges, self.end = merges, end
-        self.sizes: dict[str, int] = {}
+        self.automaton = ahocorasick.Automaton()
+        self.lookahead = 1
         for t in merges.vocab:
-            self.sizes[t] = len(t) - len(end) if end and t.endswith(end) and len(t) > len(end) else len(t)
-        self.lookahead = max(self.sizes[t] for t in (merges.parts or merges.vocab))
-
-    def symbols(self, word: Iterable[str]) -> Iterator[str]:
-        """Symbols with one held back until it is known whether it is the last."""
-        held = None
+            last = end and t.endswith(end) and len(t) > len(end)
+            size = len(t) - len(end) if last else len(t)
+            if t in merges.made and t:
+                self.automaton.add_word(t[:size] + self.MARK if last else t, (t, size))
+            if t in merges.parts or not merges.parts:
+                self.lookahead = max(self.lookahead, size)
+        self.automaton.make_automaton()
+
+    def _chunks(self, word: Iterable[str]) -> Iterator[tuple[str, bool]]:
+        """Up to `FLUSH` symbols at a time, and whether the word ends with them."""
+        if isinstance(word, str) and len(word) <= FLUSH:
+            if word:
+                yield word, True
+            return
+        held: list[str] = []
         for c in word:
-            if held is not None:
-                yield held
-            held = c
-        if held is not None:
-            yield held + self.end
+            if len(held) == FLUSH:
+                yield "".join(held), False
+                held.clear()
+            held.append(c)
+        if held:
+            yield "".join(held), True
+
+    def _settle(self, matches: Iterable[tuple[int, tuple[str, int]]], last: list[tuple[str, int]], read: int, gone: int, marked: bool) -> None:
+        """Adds the last token of each prefix that ends in the text just searched. `read` symbols are read, `gone` of them emitted."""
+        stable, shift, skipped, settled = self.merges.stable, 1 - gone, read - 1 if marked else -1, -1
+        for at, found in matches:
+            if at == settled or at == skipped:  # what ends at the last symbol of a word has to hold the mark
+                continue
+            n, size = at + shift if at < read else at + shift - 1, found[1]
+            if size == n or size < n and stable(last[n - size - 1][0], found[0]):
+                if len(last) != n - 1:
+                    break
+                last.append(found)
+                settled = at
+        if len(last) < read - gone:
+            raise ValueError(f"the vocabulary has no token for symbol {gone + len(last)} of a word")
+
+    @staticmethod
+    def _back(last: list[tuple[str, int]], n: int) -> list[str]:
+        """The tokens of the first n symbols, by steps back from the last of them."""
+        out = []
+        while n > 0:
+            token, size = last[n - 1]
+            out.append(token)
+            n -= size
+        out.reverse()
+        return out
+
+    def encode(self, word: str) -> list[str]:
+        """Tokens of a word; a short one in one step."""
+        if len(word) > FLUSH or not word or not len(self.automaton):
+            return list(self.feed(word))
+        last: list[tuple[str, int]] = []
+        self._settle(self.automaton.iter(word + self.MARK if self.end else word), last, len(word), 0, bool(self.end))
+        return self._back(last, len(word))
 
     def feed(self, word: Iterable[str]) -> Iterator[str]:
         """Tokens of one word, each as soon as it is stable."""
-        stable, made, reach = self.merges.stable, self.merges.made, self.lookahead
-        seen: list[str] = []  # symbols since the last emitted token
-        last: list[tuple[str, int]] = []  # for each prefix of them: its last token, and how many symbols that has
-        for symbol in self.symbols(word):
-            seen.append(symbol)
-            n = len(seen)
-            for size in range(min(reach, n), 0, -1):
-                token = symbol if size == 1 else "".join(seen[n - size :])
-                if token in made and (size == n or stable(last[n - size - 1][0], token)):
-                    last.append((token, size))
-                    break
-            else:
-                raise ValueError(f"the vocabulary has no token for {symbol!r}")
-            if n % FLUSH == 0 and n > reach:
-                yield from self._flush(seen, last)
-        out, n = [], len(seen)
-        while n:
-            out.append(last[n - 1][0])
-            n -= last[n - 1][1]
-        yield from reversed(out)
-
-    def _flush(self, seen: list[str], last: list[tuple[str, int]]) -> list[str]:
+        search = self.automaton.iter("") if len(self.automaton) else None
+        last: list[tuple[str, int]] = []  # for each prefix of what is kept: its last token, and how many symbols that has
+        read = gone = 0  # symbols read, and those of them in tokens that were emitted
+        for chunk, is_end in self._chunks(word):
+            read += len(chunk)
+            marked = is_end and bool(self.end)
+            if search is not None:
+                search.set(chunk + self.MARK if marked else chunk)
+            self._settle(search or (), last, read, gone, marked)
+            if not is_end and len(last) > self.lookahead:
+                out = self._flush(last)
+                gone = read - len(last)
+                yield from out
+        yield from self._back(last, len(last))
+
+    def _flush(self, last: list[tuple[str, int]]) -> list[str]:
         """Tokens that the encodings of all prefixes in reach share, taken out of what is kept."""
-        heads = set(range(max(1, len(seen) - self.lookahead + 1), len(seen) + 1))
+        heads = set(range(max(1, len(last) - self.lookahead + 1), len(last) + 1))
         while len(heads) > 1:  # step back from the longest until all meet
             top = max(heads)
             heads.discard(top)
             heads.add(top - last[top - 1][1])
-        cut = n = heads.pop()
-        out = []
-        while n > 0:
-            out.append(last[n - 1][0])
-            n -= last[n - 1][1]
-        del seen[:cut], last[:cut]
-        return out[::-1]
+        cut = heads.pop()
+        out = self._back(last, cut)
+        del last[:cut]
+        return out
 
 
 class Decoder:
@@ -149,18 +198,73 @@ class Decoder:
 
     def __init__(self, end: str = ""):
         self.end = end
-        self.bytes = {c: b for b, c in enumerate(byte_alphabet())}
-        self.machine = codecs.getincrementaldecoder("utf-8")("replace")
+        self.machine = _UTF8("replace")
 
     def feed(self, token: str) -> str:
-        done = self.end and token.endswith(self.end)
-        body = token[: -len(self.end)] if done else token
-        return self.machine.decode(bytes(self.bytes[c] for c in body)) + (" " if done else "")
+        if self.end and token.endswith(self.end):
+            return self.machine.decode(token[: -len(self.end)].translate(_BYTE_OF).encode("latin-1")) + " "
+        return self.machine.decode(token.translate(_BYTE_OF).encode("latin-1"))
 
     def close(self) -> str:
         return self.machine.decode(b"", True)
 
 
+#: A word encoded, and decoded from its ids: number of tokens; decimal ids, joined by a space; the text as the library decodes
+#: them; the readable text of the byte-to-text machine. A plain tuple, which the garbage collector does not walk.
+Word = tuple[int, str, str, str]
+
+
+class Known(dict):
+    """Words met before, up to twice `KEPT_WORDS` of them; the longest unused half goes when it is full."""
+
+    def __init__(self, make: Callable[[str], Word]):
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, word: str) -> Word:
+        found = self.before.get(word) or self.make(word)
+        if len(word) <= 64:
+            if len(self) >= KEPT_WORDS:
+                self.before = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+
+def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
+    """The text cut after spaces or line feeds, about `size` characters each; no word, normal form or added token crosses a cut."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        if end < len(text):
+            cut = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
+            if cut < 0:
+                cut = min((i for i in (text.find(" ", end), text.find("\n", end)) if i >= 0), default=len(text))
+            end = cut + 1
+        yield text[at:end]
+        at = end
+
+
+class Digests:
+    """Hashes over the words of a text as they come."""
+
+    def __init__(self):
+        self.tokens = 0
+        self.hashes = [hashlib.sha256() for _ in range(3)]
+        self.started = False
+
+    def add(self, words: list[Word]) -> None:
+        tokens, ids, decoded, text = zip(*words)
+        self.tokens += sum(tokens)
+        gap = " " if self.started else ""
+        for h, joined in zip(self.hashes, (gap + " ".join(ids), gap + " ".join(decoded), "".join(text))):
+            h.update(joined.encode())
+        self.started = True
+
+    def row(self) -> tuple:
+        return self.tokens, *(h.hexdigest() for h in self.hashes)
+
+
 class WordBpe:
     """A vocabulary file of the tokenizers library whose words are split by a pattern and end in a suffix."""
 
@@ -185,9 +289,10 @@ class WordBpe:
             pattern = pattern.replace(kind, f"[{kind}--{_NEWER_SET}]")
         self.words_old = regex.compile(pattern, regex.V1)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.alphabet = byte_alphabet()
-        self.known: dict[str, tuple[str, str]] = {}
-        self.before: dict[str, tuple[str, str]] = {}
+        if any(c in a for a in self.added for c in " \n"):
+            raise ValueError("an added token holds a space")
+        self.machine = Decoder(self.end)
+        self.known = Known(self.word)
 
     def normal(self, text: str) -> str:
         """NFC and lower case by character, so that no sigma is final; white space goes when words are found."""
@@ -205,36 +310,28 @@ class WordBpe:
                 if part:
                     yield bool(i % 2), part
 
-    def word(self, word: str) -> tuple[str, str]:
-        """Decimal ids and token strings of a word, each joined by a space."""
-        found = self.before.get(word)
-        if found is None:
-            tokens = list(self.transducer.feed(self.alphabet[b] for b in word.encode()))
-            found = " ".join(str(self.vocab[t]) for t in tokens), " ".join(tokens)
-        if len(word) <= 64:
-            if len(self.known) >= KEPT_WORDS:
-                self.before, self.known = self.known, {}
-            self.known[word] = found
-        return found
-
-    def encode_joined(self, text: str) -> tuple[str, str]:
-        """Decimal ids, and the token strings as decoding gives them back, each joined by a space."""
-        ids, names = [], []
-        for added, part in self.pieces(text):
-            if added:
-                ids.append(str(self.added[part]))
-                names.append(part)
-                continue
-            part = self.normal(part)
-            for w in (self.words if part.isascii() or max(part) < "\u0558" else self.words_old).findall(part):
-                a, b = self.known.get(w) or self.word(w)
-                ids.append(a)
-                names.append(b)
-        return " ".join(ids), " ".join(names)
+    def word(self, word: str) -> Word:
+        """Encodes a word, and decodes it again from its ids. A word is whole characters, so the decoder's state is that at the
+        start after each word, and what it gives can be remembered with the word."""
+        ids = [self.vocab[t] for t in self.transducer.encode("".join([ALPHABET[b] for b in word.encode()]))]
+        return len(ids), " ".join(map(str, ids)), self.decode(ids), "".join(map(self.machine.feed, map(self.names.get, ids)))
+
+    def stream(self, text: str) -> Iterator[list[Word]]:
+        """The words of a text, some at a time: memory follows the longest stretch without a space, not the text."""
+        for part in stretches(text):
+            out = []
+            for added, piece in self.pieces(part):
+                if added:
+                    out.append((1, str(self.added[piece]), piece, piece))
+                    continue
+                piece = self.normal(piece)
+                found = (self.words if piece.isascii() or max(piece) < "\u0558" else self.words_old).findall(piece)
+                out.extend(map(self.known.__getitem__, found))
+            if out:
+                yield out
 
     def encode(self, text: str) -> list[int]:
-        joined = self.encode_joined(text)[0]
-        return [int(i) for i in joined.split(" ")] if joined else []
+        return [int(i) for words in self.stream(text) for w in words for i in w[1].split(" ")]
 
     def decode(self, ids: Iterable[int]) -> str:
         """As the library does for a vocabulary without a decoder: token strings joined by a space."""
@@ -242,12 +339,10 @@ class WordBpe:
 
     def text(self, ids: Iterable[int]) -> Iterator[str]:
         """Readable text, piece by piece: bytes to characters, a space after each word."""
-        machine = Decoder(self.end)
+        machine, names, added = Decoder(self.end), self.names, self.added
         for i in ids:
-            if self.names[i] in self.added:
-                yield machine.close() + self.names[i]
-            else:
-                yield machine.feed(self.names[i])
+            name = names[i]
+            yield machine.close() + name if name in added else machine.feed(name)
         yield machine.close()
 
 
@@ -282,24 +377,30 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     return _mapped(docs, path, schema, "doc_id long, ids array<int>, decoded string", row)
 
 
+_DIGESTS = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("text_sha256", pa.string())]
+
+
 def token_rows(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, hashes of the ids and of the decoded text, and the ids themselves (see `encode_documents`)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.list_(pa.int32()))])
+    """The columns of `encode_digests`, and the ids themselves (see `encode_documents`)."""
 
     def row(bpe: WordBpe, text: str) -> tuple:
-        joined, decoded = bpe.encode_joined(text)
-        ids = np.array(joined.split(" ") if joined else [], np.int32)
-        return len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), ids
+        digests, ids = Digests(), []
+        for words in bpe.stream(text):
+            digests.add(words)
+            ids.append(np.array(" ".join([w[1] for w in words]).split(" "), np.int32))
+        return *digests.row(), np.concatenate(ids) if ids else np.zeros(0, np.int32)
 
-    return _mapped(docs, path, schema, f"{_OUT}, ids array<int>", row)
+    return _mapped(docs, path, pa.schema([*_DIGESTS, ("ids", pa.list_(pa.int32()))]), f"{_OUT}, ids array<int>", row)
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, number of tokens, and hashes of the ids and of the decoded text (see `encode_documents`)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    """doc_id, number of tokens, and hashes of the ids, of the text as the library decodes them, and of the readable text that the
+    byte-to-text machine makes of them, a space after each word (see `encode_documents`)."""
 
     def row(bpe: WordBpe, text: str) -> tuple:
-        ids, decoded = bpe.encode_joined(text)
-        return ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        digests = Digests()
+        for words in bpe.stream(text):
+            digests.add(words)
+        return digests.row()
 
-    return _mapped(docs, path, schema, _OUT, row)
+    return _mapped(docs, path, pa.schema(_DIGESTS), _OUT, row)

@@ -109,3 +109,30 @@ def test_documents(spark, library):
     assert sorted((repr(r.doc_id), list(r.ids)) for r in token_rows(docs, PATH).collect()) == want
     assert sorted(r.n_tokens for r in encode_digests(docs, PATH).collect()) == sorted(len(i) for _, i in want)
     assert encode_digests(docs.limit(0), PATH).collect() == []
+
+
+def test_stretches_and_small_caches_change_nothing(library, monkeypatch):
+    """Cuts after spaces, words that are forgotten and met again, and one word of many stretches."""
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
+    own = bpe.WordBpe(PATH)
+    given = [*texts()[:400], "é" + "́ a" * 50, "x " * 200 + "y" * 500 + "\n" + " ́b" * 40, "a　b c\td" * 30]
+    for size in (1, 7, 64):
+        for t in given:
+            parts = list(bpe.stretches(t, size))
+            assert "".join(parts) == t and all(parts)
+            monkeypatch.setattr(bpe, "STRETCH", size)
+            ids = [int(i) for part in parts for words in own.stream(part) for w in words for i in w[1].split(" ")]
+            assert ids == library.encode(t, add_special_tokens=False).ids, (size, t[:60])
+    assert list(bpe.stretches("")) == [] and len(own.known) <= 3
+
+
+def test_digests_are_those_of_whole_texts(spark, library):
+    import hashlib
+
+    given = [*texts(), "Ünïcode words and " * 9000]
+    rows = {r.doc_id: r for r in encode_digests(spark.createDataFrame(list(enumerate(given)), "doc_id long, text string"), PATH).collect()}
+    own = load(PATH)
+    for i, t in enumerate(given):
+        ids = library.encode(t, add_special_tokens=False).ids
+        want = (" ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False), "".join(own.text(ids)))
+        assert (rows[i].n_tokens, rows[i].ids_sha256, rows[i].decoded_sha256, rows[i].text_sha256) == (len(ids), *[hashlib.sha256(w.encode()).hexdigest() for w in want])
