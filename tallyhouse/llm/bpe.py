@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEPT_WORDS = 200_000  # encoded words that a task remembers, twice
+KEPT_WORDS = 300_000  # encoded words that a task remembers, twice
 FLUSH = 64  # symbols between two looks for stable tokens
 STRETCH = 1 << 16  # characters of a text worked on at a time
 # Letters and digits of this machine's regex module that the tokenizers library's Unicode tables do not have yet.
@@ -199,11 +199,15 @@ class Decoder:
     def __init__(self, end: str = ""):
         self.end = end
         self.machine = _UTF8("replace")
+        self.known: dict[str, tuple[bytes, str]] = {}  # bytes of each token met, and the space after a word's last one
 
     def feed(self, token: str) -> str:
-        if self.end and token.endswith(self.end):
-            return self.machine.decode(token[: -len(self.end)].translate(_BYTE_OF).encode("latin-1")) + " "
-        return self.machine.decode(token.translate(_BYTE_OF).encode("latin-1"))
+        found = self.known.get(token)
+        if found is None:
+            ends = bool(self.end) and token.endswith(self.end)
+            body = token[: -len(self.end)] if ends else token
+            found = self.known[token] = body.translate(_BYTE_OF).encode("latin-1"), " " if ends else ""
+        return self.machine.decode(found[0]) + found[1]
 
     def close(self) -> str:
         return self.machine.decode(b"", True)
