@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,4 +71,23 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def drop_staged(*staged: DataFrame) -> None:
+    """Remove tables that ``cut_lineage`` wrote, once nothing that is still to run reads them. Other frames are left alone."""
+    for df in staged:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def unused_name(name: str, taken: Iterable[str]) -> str:
+    """The name, or the first form of it with underscores in front that is not taken; case does not tell names apart."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
