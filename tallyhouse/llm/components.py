@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.session import cut_lineage
+from tallyhouse.session import cut_lineage, drop_staged
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -35,5 +35,6 @@ def components(links: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             break
         before = now
-        links = cut_lineage(_stars(_stars(links, True), False), "links")
+        done, links = links, cut_lineage(_stars(_stars(links, True), False), "links")
+        drop_staged(done)
     return links.select(F.col("b").alias("node"), F.col("a").alias("root"))

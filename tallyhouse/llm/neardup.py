@@ -34,7 +34,7 @@ from tallyhouse.llm.blocks import FOUND, SENT, block_count, columns, placed_valu
 from tallyhouse.llm.components import components
 from tallyhouse.llm.decontaminate import normal_words
 from tallyhouse.llm.words import U64, encode, hash_words, mix, weights, whole_windows, window_hashes
-from tallyhouse.session import cut_lineage
+from tallyhouse.session import cut_lineage, drop_staged, unused_name
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -235,11 +235,13 @@ def _roots(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     nodes = cut_lineage(content.withColumn("node", F.xxhash64("content")), "nodes")
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    banded = cut_lineage(banded.join(shared, "key"), "bands")
+    banded = banded_all = cut_lineage(banded.join(shared, "key"), "bands")
     involved = cut_lineage(banded.groupBy("node").agg(F.sum("size").alias("central")), "involved")
-    chosen = nodes.join(involved, "node").join(known.select("content", "doc_id"), "content").filter(F.col("doc_id") == F.col("first")).select("node", "content", "doc_id").distinct()
-    texts = docs.join(chosen, "doc_id").select("node", "content", "text").mapInArrow(_own_content, "node long, text binary").dropDuplicates(["node"])
-    texts = cut_lineage(texts, "texts")
+    chosen = nodes.join(involved, "node").select("node", "content", F.col("first").alias("doc_id"))
+    # one exchange of the texts; the rows of an id that repeats meet each the node of their own words
+    texts = docs.filter(F.col("doc_id").isNotNull()).mapInArrow(_normalised, "doc_id long, content binary, text binary")
+    texts = texts.join(chosen, ["doc_id", "content"]).groupBy("doc_id", "content", "node").agg(F.first("text").alias("text"))
+    texts = cut_lineage(texts.select("node", "text"), "texts")
 
     mark = F.struct("sketch", "size", "lone", "flat", "bands").alias("mark")
     marked = cut_lineage(involved.join(marks_of(texts), "node").join(nodes.select("node", "bands"), "node").select("node", "central", mark), "marks")
@@ -258,7 +260,7 @@ def _roots(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     labels = components(links)
     # members of a bucket that are in different classes still
     named = banded.select("key", "node", "mark").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = cut_lineage(named, "named")
+    named = every = cut_lineage(named, "named")
     mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
     named = cut_lineage(named.join(mixed, "key"), "mixed")
     other = named.select("key", F.col("node").alias("other"), F.col("mark").alias("other_mark"), F.col("root").alias("other_root"))
@@ -266,6 +268,7 @@ def _roots(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     once = F.col("key") == F.array_min(F.array_intersect("mark.bands", "other_mark.bands"))
     more = verified(named.join(other, "key").filter((F.col("root") < F.col("other_root")) & likely & once))
     labels = components(links.unionByName(more))
+    drop_staged(banded_all, involved, texts, marked, every, named, links, more)
     return signed, nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
@@ -283,34 +286,44 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return found.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
 
 
-def _own_content(batches):
-    """Normalised texts of the rows whose words are those of their node."""
-    for batch in batches:
-        norm = [normal(t) for t in encode(batch["text"].to_pylist())]
-        own = pa.array([hashlib.blake2b(t, digest_size=16).digest() == c for t, c in zip(norm, batch["content"].to_pylist())])
-        yield pa.RecordBatch.from_arrays([batch["node"].filter(own), pa.array(norm, pa.binary()).filter(own)], ["node", "text"])
+def _content(norm: list[bytes]) -> pa.Array:
+    return pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in norm], pa.binary())
 
 
-def _with_content(batches):
-    """Each row with the hash of its normalised words."""
+def _normalised(batches):
+    """doc_id, the hash of the normalised words, and those."""
     for batch in batches:
-        norm = (normal(t) for t in encode(batch["text"].cast(pa.string()).to_pylist()))
-        content = pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in norm], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns, content], [*batch.schema.names, "_content"])
+        norm = [normal(t) for t in encode(batch["text"].to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], _content(norm), pa.array(norm, pa.binary())], ["doc_id", "content", "text"])
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class, of its smallest id, with the columns it had; rows without an id stay all.
 
     Rows with the same id and different words are each judged by the class of their own words. Of several rows of a class with
-    its smallest id that with the smallest hash of its words stays, of those with the same words the smallest row, text first.
+    its smallest id that with the smallest hash of its words stays, of those with the same words the smallest text, then the row
+    whose other columns are smallest as JSON. The rows are exchanged once; only those that repeat in id and words are put
+    together. Columns of any type and name come through.
     """
+    signed, roots = _roots(docs, similarity)
+    kept = roots.groupBy("root").agg(F.min(F.struct("first", "content")).alias("k"))
+    rows = signed.groupBy("doc_id", "content").agg(F.count(F.lit(1)).alias("rows"))
+    found = rows.join(kept.select(F.col("k.first").alias("doc_id"), F.col("k.content").alias("content")), ["doc_id", "content"])
+    content, at, own, many = (unused_name(n, docs.columns) for n in ("content_hash", "kept_id", "kept_hash", "kept_rows"))
+    found = cut_lineage(found.select(F.col("doc_id").alias(at), F.col("content").alias(own), F.col("rows").alias(many)), "kept")
+    drop_staged(signed)
+
+    def with_content(batches):
+        for batch in batches:
+            norm = [normal(t) for t in encode(batch["text"].cast(pa.string()).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, _content(norm)], [*batch.schema.names, content])
+
     named = docs.columns
-    kept = _roots(docs, similarity)[1].groupBy("root").agg(F.min(F.struct("first", "content")).alias("k"))
-    kept = cut_lineage(kept.select(F.col("k.first").alias("_kept"), F.col("k.content").alias("_own")), "kept")
-    own = docs.filter(F.col("doc_id").isNotNull()).join(kept.select("_kept").distinct(), F.col("doc_id") == F.col("_kept"), "left_semi")
-    schema = T.StructType([*own.schema.fields, T.StructField("_content", T.BinaryType())])
-    own = own.mapInArrow(_with_content, schema).join(kept, (F.col("doc_id") == F.col("_kept")) & (F.col("_content") == F.col("_own")), "left_semi")
-    row = F.struct("text", *[n for n in named if n != "text"])
-    own = own.groupBy("doc_id", "_content").agg(F.min(row).alias("_row")).select(*[F.col("_row")[n].alias(n) for n in named])
-    return own.unionByName(docs.filter(F.col("doc_id").isNull())).select(*named)
+    schema = T.StructType([*docs.schema.fields, T.StructField(content, T.BinaryType())])
+    hashed = docs.filter(F.col("doc_id").isNotNull()).mapInArrow(with_content, schema)
+    mine = hashed.join(found, (F.col("doc_id") == F.col(at)) & (F.col(content) == F.col(own)))
+    whole = F.struct(*[F.col(f"`{n}`") for n in named])
+    order = F.struct(F.col("text"), F.to_json(whole))
+    alone = mine.filter(F.col(many) == 1).select(*[F.col(f"`{n}`") for n in named])
+    one = mine.filter(F.col(many) > 1).groupBy(at, own).agg(F.min_by(whole, order).alias(content))
+    return alone.unionByName(one.select(*[F.col(content)[n].alias(n) for n in named])).unionByName(docs.filter(F.col("doc_id").isNull()))

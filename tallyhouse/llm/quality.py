@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.words import encode, hash_words, window_hashes
+from tallyhouse.session import unused_name
 
 MOST_ROWS = 20_000
 BINS = 32
@@ -155,8 +156,9 @@ def fold(key: Column | str = "doc_id", folds: int = FOLDS) -> Column:
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Model:
     """Fits on labelled documents outside fold 0.
 
-    Labels without an id or quality are left out; of labels or documents with the same id each counts. The rows taken are those
-    with the smallest hash of their id, at most `most_rows`; only their features reach the driver.
+    Labels without an id or quality are left out; of labels or documents with the same id each counts. The labels taken are those
+    with the smallest hash of their id, at most `most_rows`; where they meet more rows than that, as with an id that repeats, about as
+    many of those by a hash of id, text and label. Only their features reach the driver.
     """
     rows = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
@@ -173,16 +175,21 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Mod
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # at most most_rows small rows on this side
-    got = texts.join(F.broadcast(rows), "doc_id").select("doc_id", "text", "quality").mapInArrow(measure, schema).toArrow()
+    met = texts.join(F.broadcast(rows), "doc_id").select("doc_id", "text", "quality")
+    many = met.select("doc_id").count()
+    if many > most_rows:  # an id that repeats: an even share of all that was met, by hash
+        place = F.pmod(F.xxhash64(F.lit(5), "doc_id", "text", "quality"), F.lit(1 << 40))
+        met = met.filter(place < int((1 << 40) * max(0.0, most_rows - 4 * most_rows**0.5) / many)).limit(most_rows)
+    got = met.mapInArrow(measure, schema).toArrow()
     x = np.array(got["x"].to_pylist(), dtype=float).reshape(-1, len(FEATURES))
     y = got["quality"].to_numpy().astype(float)
     order = np.lexsort((*x.T, y))  # the same model whatever order the rows come in
     return fit(x[order], y[order])
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Every column of the documents and `score`, from 0 to 1. A null or empty text is scored as one with 0 in every feature."""
-    name = "score"
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """Every column of the documents and `name`, from 0 to 1, which takes the place of a column of that name. A null or empty
+    text is scored as one with 0 in every feature."""
     if name in docs.columns:
         docs = docs.drop(name)
     schema = docs.select("*", F.lit(0.0).cast("double").alias(name)).schema
@@ -204,5 +211,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier accepts, with the columns they had."""
-    named = docs.columns
-    return score(docs, train(docs, labels)).filter(F.col("score") >= threshold).select(*named)
+    name = unused_name("quality_score", docs.columns)
+    return score(docs, train(docs, labels), name).filter(F.col(name) >= threshold).drop(name)

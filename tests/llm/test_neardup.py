@@ -109,3 +109,23 @@ def test_components_of_chains_and_stars(spark):
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 140)}, 301: 300}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_an_id_that_holds_all_rows_is_no_square(spark):
+    """Rows of one id, all near copies of each other: each meets its own words only."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(7, " ".join(base[:k % 150] + [f"x{k}"] + base[k % 150 :])) for k in range(3000)] + [(8, "something else entirely")]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string").repartition(4)
+    got = classes(docs).collect()
+    assert len(got) == 6002 and {(r.doc_id, r.class_id) for r in got} == {(7, 7), (8, 8)}
+    assert sorted(r.doc_id for r in keep_one(docs).collect()) == [7, 8]
+
+
+def test_keep_one_takes_any_columns(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(2, text, {"a": 1}, "x", 1), (1, text, {"a": 2}, "y", 2), (1, text.upper(), {"a": 2}, "b", 3), (1, text.upper(), {"a": 2}, "a", 4), (None, text, None, None, 5), (3, "", {}, "z", 6), (4, None, {}, "q", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, content_hash string, kept_rows int")
+    got = sorted((repr(r.doc_id), r.text, r.m, r.content_hash, r.kept_rows) for r in keep_one(docs).collect())
+    assert keep_one(docs).schema == docs.schema
+    assert got == [("1", text.upper(), {"a": 2}, "a", 4), ("3", "", {}, "z", 6), ("None", text, None, None, 5)]
+    assert keep_one(docs.limit(0)).collect() == []

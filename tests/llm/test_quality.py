@@ -2,7 +2,8 @@ import zlib
 
 import numpy as np
 
-from tallyhouse.llm.quality import FEATURES, _leaf_values, classify, features, fit, keep_good
+from tallyhouse.llm import quality
+from tallyhouse.llm.quality import FEATURES, _leaf_values, classify, features, fit, keep_good, train
 
 
 def table(spark, sf, name):
@@ -40,3 +41,16 @@ def test_all_rows_are_scored_and_labels_are_no_input(spark):
     assert keep_good(docs, labels).columns == docs.columns
     assert classify(docs.limit(0), labels).collect() == [] and classify(docs, labels.limit(0)).count() == len(rows)
     assert features([b""]).tolist() == [[0.0] * len(FEATURES)]
+
+
+def test_a_column_called_score_stays_and_a_hot_label_is_bounded(spark, monkeypatch):
+    rows = [(i, f"A plain sentence number {i} with words in it.", float(-i), i) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, quality_score int")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    kept = keep_good(docs, labels)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == rows
+    hot = spark.range(5000).selectExpr("7 AS doc_id", "concat('text number ', id) AS text")
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: fitted.append(len(x)) or fit(x[:10], y[:10]))
+    train(hot, labels, most_rows=1000)
+    assert 500 < fitted[0] <= 1000
