@@ -7,14 +7,18 @@ one entry. The number of blocks and buckets follows the bytes of text, so that t
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.words import U64
 
 BLOCK_BYTES = 8 << 20  # text in a block, on average
+PART_BYTES = 2 << 20  # text that a task works on at a time where rows are taken each for itself
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
@@ -47,6 +51,17 @@ def joined(parts: list[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
+def parts(batch: pa.RecordBatch, column: str = "text", most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, about `most` bytes of text at a time, at least a row; what is made of them stays small."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def columns(schema: pa.Schema, *values: list) -> pa.Table:
     """A table of lists in the order of the schema; without lists an empty one."""
     return pa.table(dict(zip(schema.names, values)), schema=schema) if values else schema.empty_table()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F, types as T
 
-from tallyhouse.llm.blocks import FOUND, SENT, block_count, columns, placed_values, received, send, sent_rows, share, text_bytes, with_block
+from tallyhouse.llm.blocks import FOUND, SENT, block_count, columns, parts, placed_values, received, send, sent_rows, share, text_bytes, with_block
 from tallyhouse.llm.components import components
 from tallyhouse.llm.decontaminate import normal_words
 from tallyhouse.llm.words import U64, encode, hash_words, mix, weights, whole_windows, window_hashes
@@ -190,14 +190,8 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
 
     def run(batches):
         for batch in batches:
-            ids, texts, at = batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist()), 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= 1 << 20):
-                    size += len(texts[end])
-                    end += 1
-                yield sign(ids[at:end], texts[at:end])
-                at = end
+            for part in parts(batch, most=1 << 20):
+                yield sign(part["doc_id"].to_pylist(), encode(part["text"].to_pylist()))
 
     return docs.mapInArrow(run, _SIGNED)
 
@@ -293,8 +287,9 @@ def _content(norm: list[bytes]) -> pa.Array:
 def _normalised(batches):
     """doc_id, the hash of the normalised words, and those."""
     for batch in batches:
-        norm = [normal(t) for t in encode(batch["text"].to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], _content(norm), pa.array(norm, pa.binary())], ["doc_id", "content", "text"])
+        for part in parts(batch):
+            norm = [normal(t) for t in encode(part["text"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], _content(norm), pa.array(norm, pa.binary())], ["doc_id", "content", "text"])
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -315,8 +310,9 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     def with_content(batches):
         for batch in batches:
-            norm = [normal(t) for t in encode(batch["text"].cast(pa.string()).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, _content(norm)], [*batch.schema.names, content])
+            for part in parts(batch):
+                norm = [normal(t) for t in encode(part["text"].cast(pa.string()).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*part.columns, _content(norm)], [*part.schema.names, content])
 
     named = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField(content, T.BinaryType())])

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.blocks import parts
 from tallyhouse.llm.words import encode, hash_words, window_hashes
 from tallyhouse.session import unused_name
 
@@ -170,8 +171,9 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Mod
 
     def measure(batches):
         for batch in batches:
-            x = features(encode(batch["text"].to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch["quality"], pa.array(list(x), pa.list_(pa.float64()))], ["quality", "x"])
+            for part in parts(batch):
+                x = features(encode(part["text"].to_pylist()))
+                yield pa.RecordBatch.from_arrays([part["quality"], pa.array(list(x), pa.list_(pa.float64()))], ["quality", "x"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # at most most_rows small rows on this side
@@ -196,8 +198,9 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            s = model.score(features(encode(batch["text"].to_pylist())))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], [*batch.schema.names, name])
+            for part in parts(batch):
+                s = model.score(features(encode(part["text"].to_pylist())))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], [*part.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 

@@ -54,3 +54,17 @@ def test_a_column_called_score_stays_and_a_hot_label_is_bounded(spark, monkeypat
     monkeypatch.setattr(quality, "fit", lambda x, y: fitted.append(len(x)) or fit(x[:10], y[:10]))
     train(hot, labels, most_rows=1000)
     assert 500 < fitted[0] <= 1000
+
+
+def test_parts_of_a_batch_keep_every_row_in_order():
+    import pyarrow as pa
+
+    from tallyhouse.llm.blocks import parts
+
+    texts = [None, "", "abc", "é" * 10, "x" * 100, "y", None, "z" * 5]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "n": list(range(8))})
+    for most in (1, 4, 25, 1000):
+        found = list(parts(batch.slice(1), most=most))
+        assert [t for p in found for t in p["text"].to_pylist()] == texts[1:] and [n for p in found for n in p["n"].to_pylist()] == list(range(1, 8))
+        assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p["text"].to_pylist()) <= most for p in found)
+    assert list(parts(batch.slice(0, 0))) == []
