@@ -9,19 +9,23 @@ Everything is DataFrame functions. Places are found in each row by splitting the
 parts go on to the interval join. It is an equi-join on document and bin of `SCOPE` characters, the part's own and its two
 neighbours, against one row per bin with the first and last start of each role. Nearest neighbours are all the test needs, so
 a bin with many parts costs no pairs.
+
+No pattern is tried again at each place of one run of letters, and places are added up in chunks, so that long texts and texts
+with many matches take time about in proportion.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.native import let
 from tallyhouse.session import cut_lineage
 
 SCOPE = 400
+CHUNK = 256  # matches whose places are added up one after another; chunks are then moved as a whole
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
@@ -35,15 +39,17 @@ class Kind(NamedTuple):
     role: str  # identifier, secret or endpoint
     weak: bool
     has: tuple[str, ...] = ()  # the match also has these
+    tail: bool = False  # the span is the group, with which the match ends
 
 
 KINDS = (
     Kind("assign", ASSIGN, 2, 8, r"(?i:passw|secret|token|api_?key)", "secret", False),
-    Kind("access", r"AKIA[A-Z0-9]+", 0, 16, "AKIA", "identifier", False),
-    Kind("hex", r"[0-9a-f]+", 0, 32, r"[0-9a-f]{32}", "secret", False),
+    Kind("access", r"AKIA[A-Z0-9]{12,}", 0, 16, "AKIA", "identifier", False),
+    Kind("hex", r"[0-9a-f]{32,}", 0, 32, r"[0-9a-f]{32}", "secret", False),
     Kind("weak_token", r"[A-Za-z0-9+/_-]{24,}={0,2}", 0, 24, r"[A-Za-z0-9+/_-]{24}", "secret", True, ("[0-9]", "[A-Z]", "[a-z]")),
-    Kind("weak_user", r"(?i:user(?:name|_id)?|login|client_?id|account(?:_?id)?|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._-]+)", 1, 3, r"(?i:user|login|client_?id|account|key_?id)[a-z_]*[\"']?\x20*[:=]", "identifier", True),
-    Kind("weak_endpoint", r"[a-z][a-z0-9+]*://[^\x00-\x20\"'<>]+", 0, 8, "://", "endpoint", True),
+    Kind("weak_user", r"(?i:user(?:name|_id)?|login|client_?id|account(?:_?id)?|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._-]+)", 1, 3, r"(?i:user(?:name|_id)?|login|client_?id|account(?:_?id)?|key_?id)[\"']?\x20*[:=]", "identifier", True),
+    # a scheme starts at the first letter of a run of its characters, so other places of the run need no look
+    Kind("weak_endpoint", r"(?<![a-z0-9+])[0-9+]*+([a-z][a-z0-9+]*+://[^\x00-\x20\"'<>]+)", 1, 8, "://", "endpoint", True, tail=True),
 )
 BASE = tuple(k.name for k in KINDS if not k.weak)
 
@@ -60,27 +66,36 @@ def _spans(text: Column, kind: Kind, order: int) -> Column:
     rows = F.arrays_zip(
         F.split(text, kind.pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"), counted.alias("part"),
     )
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
 
     def step(s: Column, r: Column) -> Column:
         begin = s["at"] + F.length(r["gap"])
         end = begin + F.coalesce(F.length(r["match"]), F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(order).alias("kind"), end.alias("end"))
+        first = end - F.length(r["part"]) if kind.tail else begin
+        span = F.struct(first.alias("start"), F.lit(order).alias("kind"), end.alias("end"))
         good = F.coalesce(F.length(r["part"]), F.lit(0)) >= kind.least
         for pattern in kind.has:
             good = good & r["match"].rlike(pattern)
         found = F.when(good, F.concat(s["found"], F.array(span))).otherwise(s["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    return F.when(text.rlike(kind.guard), F.aggregate(rows, start, step, lambda s: s["found"])).otherwise(empty)
+    def chunks(r: Column) -> Column:
+        """Spans of each chunk, counted from where it begins, and its length."""
+        begin = F.struct(F.lit(0).alias("at"), empty.alias("found"))
+        return F.transform(F.sequence(F.lit(1), F.size(r), F.lit(CHUNK)), lambda i: F.aggregate(F.slice(r, i, F.lit(CHUNK)), begin, step))
+
+    def moved(c: Column) -> Column:
+        begins = F.aggregate(c, F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x["at"])))
+
+        def move(x: Column, at: Column) -> Column:
+            return F.transform(x["found"], lambda f: F.struct((f["start"] + at).alias("start"), f["kind"].alias("kind"), (f["end"] + at).alias("end")))
 
+        return let(begins, lambda at: F.flatten(F.transform(c, lambda x, i: move(x, F.get(at, i)))))
 
-def _inside(spans: Column, x: Column) -> Column:
-    return F.exists(spans, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    return F.when(text.rlike(kind.guard), let(rows, lambda r: let(chunks(r), moved))).otherwise(empty)
 
 
 def find_parts(docs: DataFrame) -> DataFrame:
-    """doc_id, a key of the row's content, base spans, and weak spans that do not overlap a base span."""
+    """doc_id, a key of the row's content, base spans and weak spans."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = [(i, k) for i, k in enumerate(KINDS)]
     found = docs.select(
@@ -92,18 +107,30 @@ def find_parts(docs: DataFrame) -> DataFrame:
             F.array_sort(F.concat(*[_spans(t, k, i) for i, k in own if k.weak])).alias("weak"),
         )).alias("s"),
     )
-    return found.select("doc_id", "key_high", "key_low", F.col("s.base").alias("base"), let(F.col("s.base"), lambda b: F.filter(F.col("s.weak"), lambda x: ~_inside(b, x))).alias("weak"))
+    return found.select("doc_id", "key_high", "key_low", "s.base", "s.weak")
 
 
 def link(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """The weak spans that are reported: key_high, key_low and `linked`, one row per document with any."""
+    """The weak spans that are reported: key_high, key_low and `linked`, one row per document with any.
+
+    Those that overlap a base span are no parts: one that starts before the end of an earlier base span, or ends after the start
+    of a later one. Both are running extremes over a document's spans in order.
+    """
     key = ["key_high", "key_low"]
     role = {r: [i for i, k in enumerate(KINDS) if k.role == r] for r in ("identifier", "secret", "endpoint")}
+    is_base = F.col("kind") < len(BASE)
+    order = Window.partitionBy(*key)
+    before = order.orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    after = order.orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col("reach") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("next") >= F.col("end"), F.lit(True))
     each = (
         parts.filter(F.size("weak") > 0)
         .dropDuplicates(key)  # equal rows have equal parts
         .select(*key, F.inline(F.concat("base", "weak")))
-        .withColumn("bin", F.floor(F.col("start") / scope).cast("int"))
+        .withColumn("reach", F.max(F.when(is_base, F.col("end"))).over(before))
+        .withColumn("next", F.min(F.when(is_base, F.col("start"))).over(after))
+        .filter(is_base | apart)
+        .select(*key, "start", "kind", "end", F.floor(F.col("start") / scope).cast("int").alias("bin"))
     )
     ends = []
     for name, kinds in role.items():
