@@ -40,6 +40,7 @@ ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
+_BOUNDS_P = {"table", "td", "th", "button", "div", "section", "article", "li", "body", "blockquote", "main", "aside", "footer", "header", "nav", "form"}
 TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][a-zA-Z0-9:-]*+))", re.S)
 # the rest of a tag: a quote opens a value after an equals sign only, and one without a partner is a plain character
 ATTRIBUTES = re.compile(r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
@@ -68,7 +69,7 @@ _ANCESTORS = "nav header footer aside form article main section ul ol table bloc
 class Block(NamedTuple):
     text: str
     tag: str
-    ancestors: frozenset
+    ancestors: frozenset  # those of `_ANCESTORS`
     groups: frozenset  # of names of ancestors
     own: frozenset  # of names of the nearest two named ancestors
     linked: int  # characters inside links
@@ -82,10 +83,71 @@ def _groups(attributes: str) -> frozenset:
     return frozenset(_GROUP[p] for p in parts if p in _GROUP)
 
 
+class _Open:
+    """Open elements, with what blocks ask of them counted as they come and go, so that depth costs nothing."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, frozenset, bool, tuple | None]] = []  # name, groups, hidden, what to go back to
+        self.places: dict[str, list[int]] = {}  # in the stack, by name
+        self.blocks: list[int] = []
+        self.unseen: list[int] = []
+        self.named: list[frozenset] = []
+        self.groups = dict.fromkeys(GROUPS, 0)
+        self.hidden = 0
+
+    def push(self, name: str, groups: frozenset, hidden: bool, before: tuple | None) -> None:
+        at = len(self.stack)
+        self.stack.append((name, groups, hidden, before))
+        self.places.setdefault(name, []).append(at)
+        if name in BLOCK:
+            self.blocks.append(at)
+        if name in UNSEEN:
+            self.unseen.append(at)
+        if groups:
+            self.named.append(groups)
+            for g in groups:
+                self.groups[g] += 1
+        self.hidden += hidden
+
+    def cut(self, at: int) -> None:
+        """Closes the element at a place and all inside it."""
+        while len(self.stack) > at:
+            name, groups, hidden, _ = self.stack.pop()
+            self.places[name].pop()
+            if name in BLOCK:
+                self.blocks.pop()
+            if name in UNSEEN:
+                self.unseen.pop()
+            if groups:
+                self.named.pop()
+                for g in groups:
+                    self.groups[g] -= 1
+            self.hidden -= hidden
+
+    def last(self, name: str) -> int:
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    def end(self, names: set, within: set) -> None:
+        """Closes the open elements of some names, up to the nearest one that bounds them."""
+        at = max(map(self.last, names))
+        if at >= 0:
+            bound = max(self.unseen[-1] if self.unseen else -1, *map(self.last, within))
+            while at > bound:
+                self.cut(at)
+                at = max(map(self.last, names))
+
+    def block(self, text: str, linked: int) -> Block:
+        tag = self.stack[self.blocks[-1]][0] if self.blocks else ""
+        ancestors = frozenset(t for t in _ANCESTORS if self.places.get(t))
+        groups = frozenset(g for g, n in self.groups.items() if n)
+        return Block(text, tag, ancestors, groups, frozenset().union(*self.named[-2:]), min(linked, len(text)), self.hidden > 0)
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks in page order. What has no end tag ends with its parent; an end tag without a start is passed over."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset, bool, tuple | None]] = []
+    opened = _Open()
     parts: list[str] = []
     linked, links, at = 0, 0, 0
     rest_of_tag = ATTRIBUTES
@@ -95,9 +157,7 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                named = [g for _, g, *_ in stack if g]
-                block = next((t for t, *_ in reversed(stack) if t in BLOCK), "")
-                out.append(Block(text, block, frozenset(t for t, *_ in stack), frozenset().union(*named), frozenset().union(*named[-2:]), min(linked, len(text)), any(h for _, _, h, _ in stack)))
+                out.append(opened.block(text, linked))
             parts = []  # an open element may hold the list it began in
         linked = 0
 
@@ -129,15 +189,13 @@ def blocks_of(page: str) -> list[Block]:
         if m[1]:
             if name == "a":
                 links = 0
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    if stack[i][3]:
-                        n_out, parts, n_parts, linked, links = stack[i][3]
-                        del out[n_out:], parts[n_parts:]
-                    del stack[i:]
-                    break
-                if name not in BLOCK and name not in UNSEEN and stack[i][0] in BLOCK:
-                    break  # an inline end tag does not end a block
+            place = opened.last(name)
+            inline = name not in BLOCK and name not in UNSEEN
+            if place >= 0 and not (inline and opened.blocks and opened.blocks[-1] > place):  # an inline end tag does not end a block
+                if before := opened.stack[place][3]:
+                    n_out, parts, n_parts, linked, links = before
+                    del out[n_out:], parts[n_parts:]
+                opened.cut(place)
             continue
         if name in RAW:
             if not attributes.endswith("/"):
@@ -149,27 +207,19 @@ def blocks_of(page: str) -> list[Block]:
                 parts.append(" ")
             continue
         if name in ENDS_P:
-            _end(stack, {"p"}, {"table", "td", "th", "button", "div", "section", "article", "li", "body", "blockquote", "main", "aside", "footer", "header", "nav", "form"})
+            opened.end({"p"}, _BOUNDS_P)
         if name in ENDS:
-            _end(stack, *ENDS[name])
+            opened.end(*ENDS[name])
         if name == "a":
             links = 1
         if not attributes.endswith("/") or (name not in BLOCK and name not in UNSEEN):
             before = (len(out), parts, len(parts), linked, links) if name in UNSEEN else None
-            stack.append((name, _groups(attributes), bool(attributes) and bool(HIDDEN.search(attributes)), before))
+            opened.push(name, _groups(attributes), bool(attributes) and bool(HIDDEN.search(attributes)), before)
     add(page[at:])
     flush()
     return out
 
 
-def _end(stack: list, names: set, within: set) -> None:
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in names:
-            del stack[i:]
-        elif stack[i][0] in within or stack[i][0] in UNSEEN:
-            break
-
-
 _CUES = {
     "copyright": re.compile(r"[©®]|copyright|all rights reserved", re.I),
     "ask": re.compile(r"\b(?:cookies?|subscribe|sign (?:in|up)|log ?in|newsletter|advertisement|sponsored|privacy policy|terms of)\b", re.I),

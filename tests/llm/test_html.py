@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from tallyhouse.llm.html import blocks_of, extract, labelled_pages, main_text, train
@@ -62,3 +64,18 @@ def test_what_an_unclosed_element_holds_stays(name):
     assert [b.text for b in blocks_of(closed)] == ["One two.", "Three."]
     unclosed = f"<article><p>One.</p><{name}><p>Two.</p><p>Three.</p></article><footer>End.<{name}>no</{name}></footer>"
     assert [b.text for b in blocks_of(unclosed)] == ["One.", "Two.", "Three.", "End."]
+
+
+@pytest.mark.parametrize(("page", "n"), [
+    ("<div>x" * 50_000, 50_000), ("<b>" * 20_000 + "<p>x</p>" * 20_000, 20_000), ("<i><div>" + "<b>" * 20_000 + "</i>" * 20_000 + "x", 1), ("".join(f"<x-{i}>t<p>" for i in range(20_000)), 20_000),
+    ("<div>" * 30_000 + "</section>" * 30_000 + "x", 1), ("<div>" * 20_000 + "<li>x" * 20_000, 20_000), ("<noscript>" * 20_000 + "<p>x" * 20_000 + "</noscript>" * 19_999, 0), ("<div class='nav content'>y" * 30_000, 30_000),
+])
+def test_deep_nesting_takes_time_in_proportion(page, n):
+    began = time.monotonic()
+    assert len(blocks_of(page)) == n
+    assert time.monotonic() - began < 20  # minutes where each block looks at all its ancestors
+
+
+def test_rows_and_cells_without_ends():
+    blocks = blocks_of("<table><tr><td class='nav'>a<td>b<tr><td>c<table><tr><td>d</table>e</table>f")
+    assert [(b.text, sorted(b.groups)) for b in blocks] == [("a", ["menu"]), ("b", []), ("c", []), ("d", []), ("e", []), ("f", [])]
