@@ -1,6 +1,6 @@
 """Blocks of documents and hash buckets, for exchanges of packed arrays.
 
-A block is the set of documents whose id hashes to it; a bucket is a share of a hash space. Blocks send one packed row to a
+A block is the set of documents whose key hashes to it; a bucket is a share of a hash space. Blocks send one packed row to a
 bucket instead of one row a word, after having put equal keys together, so that a key that every document has costs a block
 one entry. The number of blocks and buckets follows the bytes of text, so that the size of one does not grow with the input.
 """
@@ -29,8 +29,9 @@ def block_count(total: int, size: int = BLOCK_BYTES) -> int:
     return max(1, -(-total // size))
 
 
-def with_block(docs: DataFrame, blocks: int, key: str = "doc_id") -> DataFrame:
-    return docs.withColumn("block", F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(blocks)))
+def with_block(docs: DataFrame, blocks: int, *key: str) -> DataFrame:
+    """Adds the block that rows of equal keys share; take a key that no large share of the rows has in common."""
+    return docs.withColumn("block", F.pmod(F.xxhash64(F.lit(7), *key), F.lit(blocks)))
 
 
 def split_sorted(bucket: np.ndarray) -> list[tuple[int, slice]]:

@@ -47,7 +47,8 @@ class _Block:
 
     def __init__(self, table: pa.Table, width: int):
         self.width = width
-        self.ids = np.array([NEVER if i is None else i for i in table["doc_id"].to_pylist()], np.int64)
+        self.doc_ids = table["doc_id"].to_pylist()
+        self.ids = np.array([NEVER if i is None else i for i in self.doc_ids], np.int64)
         self.texts = encode(table["text"].to_pylist())
         self.words = hash_words(self.texts)
 
@@ -131,7 +132,7 @@ def _strip(block: _Block, earlier: pa.Table) -> dict[str, list]:
         kept = text.split()
         if own.any():
             kept = [w for w, g in zip(kept, own.tolist()) if not g]
-        out["doc_id"].append(None if block.ids[i] == NEVER else int(block.ids[i]))
+        out["doc_id"].append(block.doc_ids[i])
         out["n_words"].append(len(own))
         out["n_removed"].append(int(own.sum()))
         out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
@@ -150,7 +151,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = block_count(text_bytes(docs), block_bytes)
     buckets = _buckets(blocks)
-    placed = with_block(docs, blocks)
+    placed = with_block(docs, blocks, "doc_id", "text")  # rows of one id are dealt by their texts
 
     def anchors(key, table):
         return sent_rows(key[0].as_py(), _Block(table, width).send_anchors(buckets))

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from tallyhouse.llm.blocks import with_block
 from tallyhouse.llm.substring import COVERS, cover_for, remove_repeats
 from tallyhouse.llm.words import encode, hash_words, whole_windows, window_hashes
 
@@ -63,3 +64,13 @@ def test_repeats_against_brute_force(spark, block_bytes):
 
 def test_no_documents(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_rows_of_one_id_are_dealt_by_text_and_the_largest_id_is_an_id(spark):
+    top = 2**63 - 1
+    words = [f"w{i}" for i in range(40)]
+    rows = [(5, " ".join(words[i : i + 20])) for i in range(20)] + [(5, None), (top, " ".join(words[:30])), (None, " ".join(words[5:30])), (9, " ".join(words[3:40]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = remove_repeats(docs, block_bytes=200).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows)
+    assert with_block(docs.filter("doc_id = 5"), 8, "doc_id", "text").select("block").distinct().count() > 4
