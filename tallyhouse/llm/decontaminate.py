@@ -5,7 +5,7 @@ one space around each. A window is a run of consecutive words of an item. All wi
 document is scanned once, and ends of matches are mapped to word indices and to byte offsets of the original text.
 
 The items are measured before they are sent to the tasks: those whose windows take more than `SHARD_CHARS` characters are dealt
-into several automata of that size by a hash of their id, and each scans the documents; no item is left out.
+into several automata of that size by a hash of id and text, and each scans the documents; no item is left out.
 """
 
 from __future__ import annotations
@@ -115,11 +115,14 @@ def _filter(items, window: int):
 
 
 def _shards(items: DataFrame, shard_chars: int) -> list:
-    """The items as broadcasts of about `shard_chars` characters each, by a hash of their id; their size is measured first."""
-    items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """The items as broadcasts of about `shard_chars` characters each, by a hash of id and text; their size is measured first.
+
+    Equal rows are one, so neither a repeated id nor repeated items make a broadcast larger.
+    """
+    items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, -(-chars // shard_chars))
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)))
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
     context = items.sparkSession.sparkContext
     return [context.broadcast([(r.item_id, r.text) for r in dealt.filter(F.col("shard") == shard).collect()]) for shard in range(shards)]
 

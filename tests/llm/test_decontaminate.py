@@ -1,6 +1,6 @@
 import re
 
-from tallyhouse.llm.decontaminate import digest, find_contamination, keep_clean
+from tallyhouse.llm.decontaminate import _shards, digest, find_contamination, keep_clean
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -55,3 +55,9 @@ def test_empty_sides(spark):
     assert digest(find_contamination(docs, items)).filter("contaminated").count() == 0
     assert keep_clean(docs, items).count() == len(DOCS)
     assert find_contamination(docs.limit(0), items).count() == 0
+
+
+def test_items_of_one_id_are_dealt_by_text_and_equal_ones_once(spark):
+    items = spark.createDataFrame([(7, f"item number {i} of many") for i in range(400)] + [(7, "the same item again")] * 400, "item_id long, text string")
+    shards = [s.value for s in _shards(items, 1000)]
+    assert sum(map(len, shards)) == 401 and max(sum(len(t) for _, t in s) for s in shards) < 3000
