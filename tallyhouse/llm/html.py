@@ -6,7 +6,9 @@ labels of neighbours, is trained on labelled pages by the gradient of its log-li
 
 Labelled pages are made by `labelled_pages`: layouts with the main text in varying containers, among menus, headers, footers,
 sidebars, notices, adverts, forms and comments, with unclosed elements now and then. Their words mean nothing, so the field
-learns from structure and form, and a caller can train on pages of their own instead.
+learns from structure and form, and a caller can train on pages of their own instead. A part of the pages says nothing by
+names: their elements are plain and their classes made up, some in a table layout. There the field goes by the share of the
+page's running text that stands in a block's container and by the neighbours.
 """
 
 from __future__ import annotations
@@ -63,6 +65,8 @@ GROUPS = {
     "main": "content article post entry story main body text prose page",
 }
 _GROUP = {word: group for group, words in GROUPS.items() for word in words.split()}
+# what holds parts of a page; lists, rows and inline elements belong to the one around them
+CONTAINERS = frozenset("article aside body center dialog div footer form header main nav section td".split())
 _ANCESTORS = "nav header footer aside form article main section ul ol table blockquote figure dialog menu button select details pre dl".split()
 
 
@@ -74,6 +78,7 @@ class Block(NamedTuple):
     own: frozenset  # of names of the nearest two named ancestors
     linked: int  # characters inside links
     hidden: bool
+    container: int = 0  # number of the element that holds the block's own element
 
 
 def _groups(attributes: str) -> frozenset:
@@ -94,6 +99,8 @@ class _Open:
         self.named: list[frozenset] = []
         self.groups = dict.fromkeys(GROUPS, 0)
         self.hidden = 0
+        self.containers: list[tuple[int, int]] = []  # place and number
+        self.number = 0
 
     def push(self, name: str, groups: frozenset, hidden: bool, before: tuple | None) -> None:
         at = len(self.stack)
@@ -101,6 +108,9 @@ class _Open:
         self.places.setdefault(name, []).append(at)
         if name in BLOCK:
             self.blocks.append(at)
+        if name in CONTAINERS:
+            self.number += 1
+            self.containers.append((at, self.number))
         if name in UNSEEN:
             self.unseen.append(at)
         if groups:
@@ -116,6 +126,8 @@ class _Open:
             self.places[name].pop()
             if name in BLOCK:
                 self.blocks.pop()
+            if name in CONTAINERS:
+                self.containers.pop()
             if name in UNSEEN:
                 self.unseen.pop()
             if groups:
@@ -141,7 +153,9 @@ class _Open:
         tag = self.stack[self.blocks[-1]][0] if self.blocks else ""
         ancestors = frozenset(t for t in _ANCESTORS if self.places.get(t))
         groups = frozenset(g for g, n in self.groups.items() if n)
-        return Block(text, tag, ancestors, groups, frozenset().union(*self.named[-2:]), min(linked, len(text)), self.hidden > 0)
+        own = self.blocks[-1] if self.blocks else -1
+        container = next((number for at, number in reversed(self.containers[-2:]) if at < own), 0)
+        return Block(text, tag, ancestors, groups, frozenset().union(*self.named[-2:]), min(linked, len(text)), self.hidden > 0, container)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -229,22 +243,39 @@ _LAST = re.compile(r"""[.!?…]["'”’)]*$""")
 
 
 def features_of(blocks: list[Block]) -> list[list[str]]:
-    """Names of the features that each block has."""
+    """Names of the features that each block has: its own, those of its place in the page, and its neighbours' size and links."""
     out = []
-    seen = False
+    counts = [b.text.count(" ") + 1 for b in blocks]
+    size = [0 if n < 3 else 1 if n < 6 else 2 if n < 12 else 3 if n < 30 else 4 for n in counts]
+    shares = [b.linked / len(b.text) for b in blocks]
+    link = [0 if s == 0 else 1 if s < 0.3 else 2 if s < 0.7 else 3 for s in shares]
+    running = [n if n >= 6 and s < 0.3 and b.tag not in ("footer", "form", "button", "option") else 0 for b, n, s in zip(blocks, counts, shares)]
+    total = sum(running) or 1
+    held: dict[int, int] = {}
+    for b, n in zip(blocks, running):
+        held[b.container] = held.get(b.container, 0) + n
+    most = max(held.values(), default=0)
+    seen = talked = False
     for i, b in enumerate(blocks):
-        words = b.text.count(" ") + 1
-        share = b.linked / len(b.text)
         f = ["any", f"tag {b.tag}"]
         f += [f"in {t}" for t in _ANCESTORS if t in b.ancestors]
         f += [f"named {g}" for g in b.groups] + [f"near {g}" for g in b.own]
-        f.append(f"words {0 if words < 3 else 1 if words < 6 else 2 if words < 12 else 3 if words < 30 else 4}")
-        f.append(f"links {0 if share == 0 else 1 if share < 0.3 else 2 if share < 0.7 else 3}")
+        f += [f"words {size[i]}", f"links {link[i]}"]
+        f += [f"prev {size[i - 1]} {link[i - 1]}"] if i else []
+        f += [f"next {size[i + 1]} {link[i + 1]}"] if i + 1 < len(blocks) else []
+        own = held[b.container]
+        f.append(f"holds {min(4, 5 * own // total)}")
+        if own and own == most:
+            f.append("holds most")
         f.append(f"place {min(2, i)}")
         f.append(f"left {min(2, len(blocks) - 1 - i)}")
         if _LAST.search(b.text):
             f.append("sentence")
-        f += [f"cue {name}" for name, cue in _CUES.items() if words < 40 and cue.search(b.text)]
+        cues = [name for name, cue in _CUES.items() if counts[i] < 40 and cue.search(b.text)]
+        f += [f"cue {name}" for name in cues]
+        talked = talked or ("talk" in cues and counts[i] < 6)
+        if talked:
+            f.append("after talk")
         if b.hidden:
             f.append("hidden")
         seen = seen or b.tag == "h1"
@@ -413,11 +444,26 @@ def labelled_pages(n: int = PAGES, seed: int = SEED) -> list[tuple[list[Block],
             return boxed(body, "div div section", "content post entry-content article-body story main-text page-body")
         return f"<div>{body}</div>"
 
+    def unnamed(page: str) -> str:
+        """The page with plain elements, and with names that mean nothing or none."""
+        known: dict[str, str] = {}
+        drop = r.random() < 0.3
+
+        def name(m: re.Match) -> str:
+            return "" if drop else f' {m[1]}="{known.setdefault(m[2], "".join(r.choice("bcdfgkmqrvxz") for _ in range(6)))}"'
+
+        page = re.sub(r"<(/?)(?:article|main|nav|aside|header|footer|section|dialog)\b", r"<\1div", page)
+        return re.sub(r' (class|id)="([^"]*)"', name, page)
+
     pages = []
     for _ in range(n):
         top = [f() for f, chance in ((notice, 0.2), (header, 0.5), (menu, 0.7), (form, 0.15), (advert, 0.5), (side, 0.15)) if r.random() < chance]
         end = [f() for f, chance in ((advert, 0.2), (comments, 0.35), (side, 0.3), (form, 0.15), (notice, 0.1), (footer, 0.85)) if r.random() < chance]
-        page = f"<html><head><title>{sentence(2, 8)}</title></head><body>{''.join(top)}{main()}{''.join(end)}" + ("</body></html>" if r.random() < 0.8 else "")
+        body = f"{''.join(top)}{main()}{''.join(end)}"
+        if r.random() < 0.3:
+            cells = r.random() < 0.25
+            body = unnamed(f"<table><tr><td>{''.join(top)}</td><td>{main()}</td></tr><tr><td>{''.join(end)}</td></tr></table>" if cells else body)
+        page = f"<html><head><title>{sentence(2, 8)}</title></head><body>{body}" + ("</body></html>" if r.random() < 0.8 else "")
         blocks = blocks_of(page)
         pages.append(([b._replace(text=b.text.replace(MARK, "")) for b in blocks], [int(MARK in b.text) for b in blocks]))
     return pages

@@ -79,3 +79,38 @@ def test_deep_nesting_takes_time_in_proportion(page, n):
 def test_rows_and_cells_without_ends():
     blocks = blocks_of("<table><tr><td class='nav'>a<td>b<tr><td>c<table><tr><td>d</table>e</table>f")
     assert [(b.text, sorted(b.groups)) for b in blocks] == [("a", ["menu"]), ("b", []), ("c", []), ("d", []), ("e", []), ("f", [])]
+
+
+# written by hand, in layouts that `labelled_pages` does not make: (page, its main text)
+LAYOUTS = {
+    "one wrapper": (
+        '<div id="wrapper"><h2>A title of the piece</h2>' + "".join(f"<p>This is paragraph {i} of the article with a fair number of words in it, as texts have.</p>" for i in "abc") + "</div>",
+        ["A title of the piece", *(f"This is paragraph {i} of the article with a fair number of words in it, as texts have." for i in "abc")],
+    ),
+    "made-up names": (
+        '<div class="q1"><a href="/">Home</a> <a href="/n">News</a> <a href="/s">Sport</a></div><div class="zz"><h1>Rain comes early</h1><p>The rain came early this year and the farmers of the valley were glad of it.</p>'
+        "<p>Rivers rose by a metre within two days, and roads were closed for a week.</p></div>"
+        '<div class="k9"><h3>2 comments</h3><div>Nice piece, thank you for it.</div><div>I do not agree with this at all.</div></div><div class="b2"><a href="/t">Terms</a> <a href="/p">Privacy</a></div>',
+        ["Rain comes early", "The rain came early this year and the farmers of the valley were glad of it.", "Rivers rose by a metre within two days, and roads were closed for a week."],
+    ),
+    "table": (
+        '<table><tr><td><a href="/">Home</a><br><a href="/b">Blog</a></td><td><h1>Old layout</h1><p>This page was made long ago and is held in a table, as many were then.</p>'
+        "<p>It has a second paragraph, which says no more than the first one did.</p></td></tr><tr><td>Copyright 2001 by the owner</td></tr></table>",
+        ["Old layout", "This page was made long ago and is held in a table, as many were then.", "It has a second paragraph, which says no more than the first one did."],
+    ),
+    "bare body": (
+        "<body><h1>Notes on glass</h1><p>Glass is made of sand, soda and lime, which are melted together in a furnace for a day.</p><h2>Colour</h2><p>Iron makes it green, and cobalt makes it a deep blue.</p></body>",
+        ["Notes on glass", "Glass is made of sand, soda and lime, which are melted together in a furnace for a day.", "Colour", "Iron makes it green, and cobalt makes it a deep blue."],
+    ),
+    "nested wrappers": (
+        '<div><div><div><ul><li><a href="/1">One</a></li><li><a href="/2">Two</a></li><li><a href="/3">Three</a></li></ul></div><div><div><h1>The harbour at night</h1><p>Ships lie still in the harbour, and their lamps are seen from the hills around the town.</p>'
+        "<p>At four the first boats go out, long before the market opens its doors.</p></div></div></div><div><p>© 2019 The Harbour Times. All rights reserved.</p></div></div>",
+        ["The harbour at night", "Ships lie still in the harbour, and their lamps are seen from the hills around the town.", "At four the first boats go out, long before the market opens its doors."],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_layouts_that_were_not_trained_on(field, name):
+    page, text = LAYOUTS[name]
+    assert main_text(field, page).split("\n") == text
