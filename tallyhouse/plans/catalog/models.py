@@ -150,7 +150,7 @@ ENTRIES["l7_performance_ceiling"] = lambda t: learn.performance_ceiling(_trainin
 _DATED = f"""(SELECT m.as_of, r.* FROM ({_training_sql(q.both_filled)}) r JOIN
   (SELECT DISTINCT snapshot_date AS as_of FROM ({_training_sql(q.both_filled)})) m ON r.snapshot_date <= m.as_of)"""
 ENTRIES["l7_rows_as_of"] = (
-    lambda t: learn.rows_as_of(_training_rows(t), LOAN_KEY).groupBy("as_of", "split").agg(
+    lambda t: learn.rows_as_of(cut_lineage(_training_rows(t), "training-rows"), LOAN_KEY).groupBy("as_of", "split").agg(
         F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives")),
     "SELECT as_of, split, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives FROM (SELECT as_of, label, 'oot' AS split "
     f"FROM {_DATED} WHERE snapshot_date = as_of UNION ALL SELECT as_of, label, split FROM ("
