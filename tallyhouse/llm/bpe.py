@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.blocks import parts
+
 KEPT_WORDS = 200_000  # encoded words that a task remembers, twice
 FLUSH = 64  # symbols between two looks for stable tokens
 STRETCH = 1 << 16  # characters of a text worked on at a time
@@ -67,7 +69,7 @@ class Merges:
             if any(t in self.parts and self.rank[self.parts[t]] >= r for t in (a, b)):
                 raise ValueError(f"the merge {a!r} {b!r} comes before its parts")
         self._spines = lru_cache(1 << 16)(self._spine)
-        self.stable = lru_cache(1 << 18)(self._stable)
+        self.stable = lru_cache(1 << 16)(self._stable)
         self.made = {t for t in vocab if t not in self.parts}  # tokens that their own text is encoded as
         for token, (a, b) in self.parts.items():  # in the order of merges, so after its parts
             if a in self.made and b in self.made and self._stable(a, b, self.rank[a, b]):
@@ -214,18 +216,28 @@ class Decoder:
 
 
 #: A word encoded, and decoded from its ids: number of tokens; decimal ids, joined by a space; the text as the library decodes
-#: them; the readable text of the byte-to-text machine. A plain tuple, which the garbage collector does not walk.
+#: them; the readable text of the byte-to-text machine.
 Word = tuple[int, str, str, str]
 
 
+def packed(word: Word) -> str:
+    """A word as one string, which takes less than half of its tuple's memory; neither ids nor tokens hold the mark."""
+    return Transducer.MARK.join(word[1:])
+
+
+def unpacked(word: str) -> Word:
+    ids, decoded, text = word.split(Transducer.MARK, 2)
+    return ids.count(" ") + 1, ids, decoded, text
+
+
 class Known(dict):
     """Words met before, up to twice `KEPT_WORDS` of them; the longest unused half goes when it is full."""
 
-    def __init__(self, make: Callable[[str], Word]):
+    def __init__(self, make: Callable[[str], Word | str]):
         super().__init__()
         self.make, self.before = make, {}
 
-    def __missing__(self, word: str) -> Word:
+    def __missing__(self, word: str) -> Word | str:
         found = self.before.get(word) or self.make(word)
         if len(word) <= 64:
             if len(self) >= KEPT_WORDS:
@@ -270,9 +282,12 @@ class Digests:
 
 
 class WordBpe:
-    """A vocabulary file of the tokenizers library whose words are split by a pattern and end in a suffix."""
+    """A vocabulary file of the tokenizers library whose words are split by a pattern and end in a suffix.
+
+    With `small` it remembers words packed: it takes a sixth more time, and workers that other stages go on with hold less.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, small: bool = False):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -296,7 +311,8 @@ class WordBpe:
         if any(c in a for a in self.added for c in " \n"):
             raise ValueError("an added token holds a space")
         self.machine = Decoder(self.end)
-        self.known = Known(self.word)
+        self.small = small
+        self.known = Known((lambda word: packed(self.word(word))) if small else self.word)
 
     def normal(self, text: str) -> str:
         """NFC and lower case by character, so that no sigma is final; white space goes when words are found."""
@@ -330,7 +346,8 @@ class WordBpe:
                     continue
                 piece = self.normal(piece)
                 found = (self.words if piece.isascii() or max(piece) < "\u0558" else self.words_old).findall(piece)
-                out.extend(map(self.known.__getitem__, found))
+                words = map(self.known.__getitem__, found)
+                out.extend(map(unpacked, words) if self.small else words)
             if out:
                 yield out
 
@@ -351,17 +368,17 @@ class WordBpe:
 
 
 @lru_cache(4)
-def load(path: str) -> WordBpe:
-    return WordBpe(path)
+def load(path: str, small: bool = False) -> WordBpe:
+    return WordBpe(path, small)
 
 
-def _mapped(docs: DataFrame, path: str, schema: pa.Schema, out: str, row: Callable[[WordBpe, str], tuple]) -> DataFrame:
+def _mapped(docs: DataFrame, path: str, schema: pa.Schema, out: str, row: Callable[[WordBpe, str], tuple], small: bool = False) -> DataFrame:
     def run(batches):
-        bpe = load(path)
+        bpe = load(path, small)
         for batch in batches:
-            rows = [row(bpe, t or "") for t in batch["text"].to_pylist()]
-            made = zip(*rows) if rows else [[] for _ in schema.names[1:]]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(list(c), f.type) for c, f in zip(made, list(schema)[1:]))], schema=schema)
+            for part in parts(batch):
+                made = zip(*[row(bpe, t or "") for t in part["text"].to_pylist()])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], *(pa.array(list(c), f.type) for c, f in zip(made, list(schema)[1:]))], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, out)
 
@@ -385,7 +402,7 @@ _DIGESTS = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.
 
 
 def token_rows(docs: DataFrame, path: str) -> DataFrame:
-    """The columns of `encode_digests`, and the ids themselves (see `encode_documents`)."""
+    """The columns of `encode_digests`, and the ids themselves (see `encode_documents`). Words are remembered packed."""
 
     def row(bpe: WordBpe, text: str) -> tuple:
         digests, ids = Digests(), []
@@ -394,7 +411,7 @@ def token_rows(docs: DataFrame, path: str) -> DataFrame:
             ids.append(np.array(" ".join([w[1] for w in words]).split(" "), np.int32))
         return *digests.row(), np.concatenate(ids) if ids else np.zeros(0, np.int32)
 
-    return _mapped(docs, path, pa.schema([*_DIGESTS, ("ids", pa.list_(pa.int32()))]), f"{_OUT}, ids array<int>", row)
+    return _mapped(docs, path, pa.schema([*_DIGESTS, ("ids", pa.list_(pa.int32()))]), f"{_OUT}, ids array<int>", row, small=True)
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:

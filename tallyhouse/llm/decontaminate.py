@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.blocks import parts
 from tallyhouse.llm.words import encode
 
 WINDOW = 10
@@ -109,7 +110,8 @@ def _filter(items, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = build(items.value, window)
         for batch in batches:
-            yield batch.filter(pa.array([not scan(automaton, t)[1] for t in encode(batch["text"].to_pylist())], pa.bool_()))
+            for part in parts(batch):
+                yield part.filter(pa.array([not scan(automaton, t)[1] for t in encode(part["text"].to_pylist())], pa.bool_()))
 
     return run
 

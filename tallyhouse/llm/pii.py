@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.blocks import parts
+
 KEY = b"replace by a secret key"  # for tests and examples; production passes its own
 ROUNDS = 8
 _OUT = "doc_id long, n_found long, text string, found array<struct<kind: string, start: int, end: int>>"
@@ -229,9 +231,10 @@ def replace_pii(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [None if t is None else pseudonymise(t, key)[0] for t in batch["text"].to_pylist()]
-            columns = list(batch.columns)
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+            for part in parts(batch):
+                texts = [None if t is None else pseudonymise(t, key)[0] for t in part["text"].to_pylist()]
+                columns = list(part.columns)
+                columns[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,4 +1,5 @@
 import random
+import sys
 
 import public_tokenizers
 import pytest
@@ -136,3 +137,12 @@ def test_digests_are_those_of_whole_texts(spark, library):
         ids = library.encode(t, add_special_tokens=False).ids
         want = (" ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False), "".join(own.text(ids)))
         assert (rows[i].n_tokens, rows[i].ids_sha256, rows[i].decoded_sha256, rows[i].text_sha256) == (len(ids), *[hashlib.sha256(w.encode()).hexdigest() for w in want])
+
+
+def test_packed_words_are_the_same_and_take_less_than_half():
+    plain, small = bpe.WordBpe(PATH), bpe.WordBpe(PATH, small=True)
+    for text in [*texts(), "a\0b \0 c\0", "x" * 70]:
+        assert [w for words in small.stream(text) for w in words] == [w for words in plain.stream(text) for w in words]
+    assert list(small.known) == list(plain.known)
+    size = sum(sys.getsizeof(w) + sum(map(sys.getsizeof, w)) for w in plain.known.values() if isinstance(w, tuple))
+    assert sum(map(sys.getsizeof, small.known.values())) < size / 2

@@ -1,11 +1,16 @@
+from types import SimpleNamespace
+
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tallyhouse.llm.decontaminate import find_contamination
+from tallyhouse.llm.blocks import PART_BYTES
+from tallyhouse.llm.bpe import token_rows
+from tallyhouse.llm.decontaminate import _filter, find_contamination
 from tallyhouse.llm.neardup import classes
-from tallyhouse.llm.pii import pseudonymise
+from tallyhouse.llm.pii import pseudonymise, replace_pii
 from tallyhouse.llm.quality import classify, keep_good
 
 
@@ -90,3 +95,19 @@ def test_empty_tables_and_ties(spark, tmp_path):
     docs = spark.read.parquet(f"{same}/documents.parquet")
     assert [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, same).collect()] == [(8, PLAIN.format(3))]
     assert corpus_pipeline.decontaminate(spark, docs, same).count() == corpus_pipeline.pii(spark, docs, same).count() == 5
+
+
+def test_stages_work_on_a_batch_by_parts(spark):
+    class Docs:  # hands out what a stage runs in its tasks
+        columns, schema = ["doc_id", "text"], None
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+
+    texts = [f"row {i} " + "plain words here " * 12_000 for i in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array(texts)], ["doc_id", "text"])
+    items = SimpleNamespace(value=[("a", "row 7 plain words")])
+    runs = token_rows(Docs(), public_tokenizers.path("word_bpe_49k.json")), replace_pii(Docs()), _filter(items, 10)
+    for run, left in zip(runs, (30, 30, 29)):
+        made = list(run(iter([batch])))
+        assert sum(b.num_rows for b in made) == left and [i for b in made for i in b["doc_id"].to_pylist()] == [i for i in range(30) if left == 30 or i != 7]
+        assert len(made) > 2 and max(b.num_rows for b in made) * len(texts[0]) <= PART_BYTES
