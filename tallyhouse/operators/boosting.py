@@ -1,6 +1,6 @@
-"""Boosted trees of one bounded sample, many fits side by side.
+"""Boosted trees of rows that a task can hold, many fits side by side. Of more rows they are grown by ``spread``.
 
-A search fits hundreds of models of the same few rows. The rows, a stated number at most, are sent to the tasks once; Spark
+A search fits hundreds of models of the same few rows. The rows, all there are, are sent to the tasks once; Spark
 deals the fits over the cluster, each task grows the trees of its fits on binned features, and only figures and nodes come back.
 Fits share what they can: features are binned once per training part, and as the trees of a short fit are the first trees
 of a longer one, candidates that differ in their number of trees only are one fit that is judged at several stages.
